@@ -30,15 +30,26 @@ ISO_PATTERN = (
 _GROUPS = ("year", "week", "weekday", "month", "day", "ordinal", "hour", "minute",
            "second", "fraction", "zulu", "sign", "off_h", "off_m")
 
+# The common layout (what databases and Rails write) parses with a plain cast.
+FAST_PATTERN = r"^\d{4}-\d{2}-\d{2}(?:[T ](?:[01]\d|2[0-3]):\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?$"
 
-def _group(c: Column, i: int) -> Column:
-    g = F.regexp_extract(c, ISO_PATTERN, i)
-    return F.when(g != "", g)
 
+def iso_parts(c: Column) -> Column:
+    """All capture groups in one regex pass, as ``array<string>``; NULL for
+    texts the fast path handles (or that are not ISO at all).
 
-def iso_timestamp(c: Column) -> Column:
-    ok = c.rlike(ISO_PATTERN)
-    g = {name: _group(c, i + 1) for i, name in enumerate(_GROUPS)}
+    ``regexp_replace`` rewrites a matching text to ``g1|g2|...`` which is then
+    split (a group cannot hold ``|``; the separator character is not
+    captured)."""
+    packed = F.regexp_replace(c, ISO_PATTERN, "|".join(f"${i + 1}" for i in range(len(_GROUPS))))
+    return F.when(~c.rlike(FAST_PATTERN) & c.rlike(ISO_PATTERN), F.split(packed, r"\|"))
+
+
+def _from_parts(parts: Column) -> Column:
+    g = {}
+    for i, name in enumerate(_GROUPS):
+        item = parts.getItem(i)
+        g[name] = F.when(item != "", item)
     year = g["year"].cast("int")
     hour = F.coalesce(g["hour"].cast("int"), F.lit(0))
     minute = F.coalesce(g["minute"].cast("int"), F.lit(0))
@@ -47,30 +58,55 @@ def iso_timestamp(c: Column) -> Column:
     # 24:00[:00[.0]] is midnight of the next day
     is_24 = (hour == 24) & (minute == 0) & (second == 0)
     h = F.when(is_24, F.lit(0)).otherwise(hour)
-    extra_days = F.when(is_24, 1).otherwise(0)
-
-    def at(y, mo, d) -> Column:
-        return F.try_make_timestamp_ntz(y, mo, d, h, minute, second)
-
-    jan1 = at(year, F.lit(1), F.lit(1))
-    jan4 = F.make_date(year, F.lit(1), F.lit(4))
-    week_monday = F.date_sub(jan4, F.weekday(jan4))  # Monday of ISO week 1
-    week_day = F.date_add(week_monday, (g["week"].cast("int") - 1) * 7
-                          + F.coalesce(g["weekday"].cast("int"), F.lit(1)) - 1)
+    week = g["week"].cast("int")
     ordinal = g["ordinal"].cast("int")
+    jan4 = F.make_date(year, F.lit(1), F.lit(4))
+    # ISO week dates and ordinal dates become a day offset from 1 January
+    week_offset = (F.datediff(F.date_sub(jan4, F.weekday(jan4)), F.make_date(year, F.lit(1), F.lit(1)))
+                   + (week - 1) * 7 + F.coalesce(g["weekday"].cast("int"), F.lit(1)) - 1)
     year_days = F.dayofyear(F.make_date(year, F.lit(12), F.lit(31)))
-    base = (F.when(g["week"].isNotNull() & g["week"].cast("int").between(1, 53),
-                   at(F.year(week_day), F.month(week_day), F.dayofmonth(week_day)))
-            .when(g["ordinal"].isNotNull() & ordinal.between(1, year_days),
-                  jan1 + F.make_dt_interval(ordinal - 1))
-            .when(g["week"].isNull() & g["ordinal"].isNull(),
-                  at(year, F.coalesce(g["month"].cast("int"), F.lit(1)),
-                     F.coalesce(g["day"].cast("int"), F.lit(1)))))
+    day_offset = (F.when(week.between(1, 53), week_offset)
+                  .when(ordinal.between(1, year_days), ordinal - 1)
+                  .when(week.isNull() & ordinal.isNull(), F.lit(0)))
+    calendar = week.isNull() & ordinal.isNull()
+    base = F.try_make_timestamp_ntz(
+        year, F.when(calendar, F.coalesce(g["month"].cast("int"), F.lit(1))).otherwise(1),
+        F.when(calendar, F.coalesce(g["day"].cast("int"), F.lit(1))).otherwise(1),
+        h, minute, second)
+    off_h = F.coalesce(g["off_h"].cast("int"), F.lit(0))
+    off_m = F.coalesce(g["off_m"].cast("int"), F.lit(0))
     sign = F.when(g["sign"] == "-", -1).otherwise(1)
-    off_minutes = sign * (F.coalesce(g["off_h"].cast("int"), F.lit(0)) * 60
-                          + F.coalesce(g["off_m"].cast("int"), F.lit(0)))
-    valid_offset = (F.coalesce(g["off_h"].cast("int"), F.lit(0)) < 24) & \
-                   (F.coalesce(g["off_m"].cast("int"), F.lit(0)) < 60)
-    valid_time = (hour < 24) | is_24
-    ts = (base + F.make_dt_interval(extra_days) - F.make_dt_interval(F.lit(0), F.lit(0), off_minutes))
-    return F.when(ok & valid_time & (minute < 60) & valid_offset, ts).cast("timestamp_ntz")
+    ts = (base + F.make_dt_interval(day_offset + F.when(is_24, 1).otherwise(0))
+          - F.make_dt_interval(F.lit(0), F.lit(0), sign * (off_h * 60 + off_m)))
+    valid = ((hour < 24) | is_24) & (minute < 60) & (off_h < 24) & (off_m < 60)
+    return F.when(valid, ts)
+
+
+def iso_from_parts(c: Column, parts: Column) -> Column:
+    return (F.when(c.rlike(FAST_PATTERN), c.try_cast("timestamp_ntz"))
+            .when(parts.isNotNull(), _from_parts(parts))
+            .cast("timestamp_ntz"))
+
+
+def iso_timestamp(c: Column) -> Column:
+    """Single-expression form.  The captured parts are bound once through a
+    lambda variable so the expression stays small; for many columns prefer
+    ``with_iso_timestamps`` (fully code-generated)."""
+    slow = F.transform(F.array(iso_parts(c)), lambda p: F.when(p.isNotNull(), _from_parts(p)))
+    return (F.when(c.rlike(FAST_PATTERN), c.try_cast("timestamp_ntz"))
+            .otherwise(slow.getItem(0)).cast("timestamp_ntz"))
+
+
+def with_iso_timestamps(df, columns: dict[str, str]):
+    """Replace/add ``out = iso(in)`` for each ``{out: in}`` in two projections:
+    the regex runs once per value in the first, the second only reads the
+    captured parts (Spark does not collapse a costly expression that is used
+    several times, so the parts stay computed once)."""
+    tmp = {out: f"__iso_parts_{i}" for i, out in enumerate(columns)}
+    staged = df.select("*", *[iso_parts(F.col(f"`{src}`")).alias(tmp[out])
+                              for out, src in columns.items()])
+    keep = [c for c in df.columns if c not in columns]
+    final = [F.col(f"`{c}`") for c in keep] + [
+        iso_from_parts(F.col(f"`{src}`"), F.col(tmp[out])).alias(out) for out, src in columns.items()]
+    order = [c for c in df.columns] + [o for o in columns if o not in df.columns]
+    return staged.select(*final).select(*[F.col(f"`{c}`") for c in order])
