@@ -147,3 +147,70 @@ def format_answer(annotation_id: Column, annotation_type: Column, field_type: Co
             .when(field_type == "geojson", _geojson(value))
             .when(field_type == "datetime", _datetime(value))
             .otherwise(value))
+
+
+def with_answer(df, out: str, annotation_id: str, annotation_type: str, field_type: str,
+                value: str, annotation_file: str,
+                asset_base_url: str = DEFAULT_ASSET_BASE_URL):
+    """DataFrame form of ``format_answer`` that parses each value's JSON once.
+
+    The Column form re-parses inside every branch that needs the document;
+    here the first projection parses the value (and, for the double-encoded
+    field types, the once-decoded text) into variant columns, and the answer
+    reads those.  Spark keeps the parse in its own projection because the
+    result is used several times."""
+    ft, at = F.col(field_type), F.col(annotation_type)
+    v1 = variant(F.col(value))
+    staged = df.withColumn("__v1", v1)
+    once = python_text(F.col("__v1"))
+    needs_second = ft.isin("geojson") | ((ft == "select") & (at == MULTIPLE_CHOICE))
+    staged = staged.withColumn("__once", F.when(F.col("__v1").isNotNull(), once)) \
+        .withColumn("__v2", F.when(needs_second, variant(F.col("__once"))))
+    answer = _answer_from_variants(F.col(annotation_id), at, ft, F.col(value), F.col(annotation_file),
+                                   F.col("__v1"), F.col("__once"), F.col("__v2"), asset_base_url)
+    return staged.withColumn(out, answer).drop("__v1", "__once", "__v2")
+
+
+def _answer_from_variants(annotation_id, annotation_type, field_type, value, file, v, once, v2,
+                          base_url):
+    t = variant_type(v)
+    # JSON-string types and single choice: the once-decoded text
+    json_string = F.when(v.isNull(), value).otherwise(once)
+    # multiple choice
+    sel_t = _type_at(v2, "$.selected")
+    selected = F.variant_get(v2, "$.selected", "array<string>")
+    all_strings = (variant_type(v2).startswith("OBJECT")
+                   & ((sel_t == "ARRAY<STRING>") | (sel_t.startswith("ARRAY") & (F.size(selected) == 0)))
+                   & ~F.exists(selected, lambda x: x.isNull()))
+    other = F.when(_type_at(v2, "$.other") == "STRING",
+                   F.array(F.concat(F.lit("Other ("), F.variant_get(v2, "$.other", "string"), F.lit(")"))))
+    choices = F.array_join(F.concat(selected, F.coalesce(other, F.array().cast("array<string>"))), ", ")
+    multi = F.when(v2.isNull(), once).when(all_strings, choices).otherwise(python_text(v2))
+    select = (F.when(v.isNull(), value)
+              .when((t == "STRING") & (annotation_type == MULTIPLE_CHOICE), multi)
+              .otherwise(once))
+    # geojson
+    n_coords = F.size(F.variant_get(v2, "$.geometry.coordinates", "array<variant>"))
+    is_point = (variant_type(v2).startswith("OBJECT")
+                & (F.variant_get(v2, "$.type", "string") == "Feature")
+                & (_type_at(v2, "$.type") == "STRING")
+                & _type_at(v2, "$.geometry").startswith("OBJECT")
+                & (_type_at(v2, "$.geometry.type") == "STRING")
+                & (F.variant_get(v2, "$.geometry.type", "string") == "Point")
+                & (n_coords == 2)
+                & _type_at(v2, "$.geometry.coordinates[0]").rlike(_NUMBER)
+                & _type_at(v2, "$.geometry.coordinates[1]").rlike(_NUMBER))
+    pair = F.concat(F.lit("("), F.variant_get(v2, "$.geometry.coordinates[0]", "string"), F.lit(", "),
+                    F.variant_get(v2, "$.geometry.coordinates[1]", "string"), F.lit(")"))
+    named = (_type_at(v2, "$.properties").startswith("OBJECT")
+             & (_type_at(v2, "$.properties.name") == "STRING"))
+    point = F.when(named, F.concat(F.variant_get(v2, "$.properties.name", "string"), F.lit(" "), pair)
+                   ).otherwise(pair)
+    geo = F.when(v.isNull(), value).when(is_point, point).otherwise(once)
+    return (F.when(value.isNull(), F.lit(None).cast("string"))
+            .when(field_type.isin(JSON_STRING_FIELD_TYPES), json_string)
+            .when(field_type == "image", _image(annotation_id, value, file, base_url))
+            .when(field_type == "select", select)
+            .when(field_type == "geojson", geo)
+            .when(field_type == "datetime", _datetime(value))
+            .otherwise(value))

@@ -107,7 +107,7 @@ tag_texts AS (SELECT CAST(p_partkey AS BIGINT) AS id, p_name AS text FROM part),
 bot_resources AS (SELECT CAST(s_suppkey AS BIGINT) AS id, s_name AS title FROM supplier),
 project_medias AS (
   SELECT CAST(o_orderkey AS BIGINT) AS id, strftime(o_orderdate, '{FMT}') AS created_at,
-         CAST(o_custkey AS BIGINT) AS user_id, CAST(o_orderkey % {D.MEDIA_COUNT} AS BIGINT) AS media_id,
+         CAST(o_custkey AS BIGINT) AS user_id, CAST(o_orderkey // {D.ORDERS_PER_MEDIA} AS BIGINT) AS media_id,
          CAST(1 AS BIGINT) AS team_id, CAST(o_orderkey % {D.PROJECT_MODULUS} AS BIGINT) AS project_id,
          CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS INTEGER) AS archived
   FROM orders
@@ -139,7 +139,7 @@ annotations AS (
          CASE WHEN n = 5 OR (n = 7 AND k % 4 = 2) THEN 'Task'
               WHEN n = 7 AND k % 4 = 1 THEN 'Media' ELSE 'ProjectMedia' END AS annotated_type,
          CAST(CASE WHEN n = 5 OR (n = 7 AND k % 4 = 2) THEN k * 10 + 4
-              WHEN n = 7 AND k % 4 = 1 THEN k % {D.MEDIA_COUNT} ELSE {ITEM} END AS BIGINT) AS annotated_id,
+              WHEN n = 7 AND k % 4 = 1 THEN k // {D.ORDERS_PER_MEDIA} ELSE {ITEM} END AS BIGINT) AS annotated_id,
          'User' AS annotator_type, CAST(p % 150 AS BIGINT) AS annotator_id,
          CASE WHEN n = 2 THEN {HDR} || 'tag: ' || {_v('p')} || {NL}
               WHEN n = 3 THEN {HDR} || 'text: note ' || {_v('k')} || {NL}

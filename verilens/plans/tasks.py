@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verilens.functions.answers import DEFAULT_ASSET_BASE_URL, format_answer, value_source
+from verilens.functions.answers import DEFAULT_ASSET_BASE_URL, value_source, with_answer
 from verilens.functions.strings import strip_ruby_header
 from verilens.functions.yaml_text import comment_text, has_line, task_label
 from verilens.operators.topk import first_per_key, id_bucket, row_number
@@ -48,16 +48,18 @@ def task_or_metadata(data) -> F.Column:
     return F.when(has_line(data, "fieldset: metadata"), F.lit("metadata")).otherwise(F.lit("task"))
 
 
-def task_rows(ws: Workspace, asset_base_url: str = DEFAULT_ASSET_BASE_URL) -> DataFrame:
+def answered_responses(ws: Workspace, asset_base_url: str = DEFAULT_ASSET_BASE_URL) -> DataFrame:
+    """Task responses with their fields, formatted answers and answerer login.
+
+    ``responses LEFT JOIN fields LEFT JOIN users`` is computed (and the
+    answers formatted) before the join to tasks: the formatting then runs in
+    this subtree's stage, once per field, and not again when the final sort
+    samples its input."""
     a = ws["annotations"]
-    tasks = a.filter((a.annotated_type == "ProjectMedia") & (a.annotation_type == "task")).select(
-        F.col("id").alias("task_id"), F.col("annotated_id").alias("item_id"),
-        F.col("created_at").alias("task_created_at"),
-        task_or_metadata(F.col("data")).alias("kind"), task_label(F.col("data")).alias("label"))
     responses = a.filter((a.annotated_type == "Task")
                          & a.annotation_type.ilike("task_response_%")).select(
         F.col("id").alias("response_id"), F.col("annotated_id").alias("r_task_id"),
-        F.col("annotation_type").alias("r_type"), F.col("annotator_type").alias("r_annotator_type"),
+        F.col("annotator_type").alias("r_annotator_type"),
         F.col("annotator_id").alias("r_annotator_id"), F.col("file").alias("r_file"),
         F.col("created_at").alias("answered_at"))
     f = ws["dynamic_annotation_fields"].select(
@@ -65,17 +67,27 @@ def task_rows(ws: Workspace, asset_base_url: str = DEFAULT_ASSET_BASE_URL) -> Da
         F.col("field_type").alias("f_field_type"),
         value_source(F.col("value"), F.col("value_json")).alias("f_value"))
     users = ws["users"].select(F.col("id").alias("u_id"), F.col("login").alias("answered_by"))
+    df = responses.join(f, responses.response_id == f.f_annotation_id, "left")
+    df = df.join(users, (df.r_annotator_type == "User") & (df.r_annotator_id == users.u_id), "left")
+    df = with_answer(df, "answer", "f_annotation_id", "f_type", "f_field_type", "f_value", "r_file",
+                     asset_base_url)
+    return df.select("r_task_id", "answer", "answered_by", "answered_at")
+
+
+def task_rows(ws: Workspace, asset_base_url: str = DEFAULT_ASSET_BASE_URL) -> DataFrame:
+    a = ws["annotations"]
+    tasks = a.filter((a.annotated_type == "ProjectMedia") & (a.annotation_type == "task")).select(
+        F.col("id").alias("task_id"), F.col("annotated_id").alias("item_id"),
+        F.col("created_at").alias("task_created_at"),
+        task_or_metadata(F.col("data")).alias("kind"), task_label(F.col("data")).alias("label"))
     notes = first_task_comments(ws).select(F.col("task_id").alias("n_task_id"),
                                            F.col("comment").alias("first_note"))
-    df = tasks.join(responses, tasks.task_id == responses.r_task_id, "left")
-    df = df.join(f, df.response_id == f.f_annotation_id, "left")
-    df = df.join(users, (df.r_annotator_type == "User") & (df.r_annotator_id == users.u_id), "left")
+    answers = answered_responses(ws, asset_base_url)
+    df = tasks.join(answers, tasks.task_id == answers.r_task_id, "left")
     df = df.join(notes, df.task_id == notes.n_task_id, "left")
-    answer = format_answer(F.col("f_annotation_id"), F.col("f_type"), F.col("f_field_type"),
-                           F.col("f_value"), F.col("r_file"), asset_base_url)
     return df.select(F.col("task_id"), F.col("item_id"), F.col("task_created_at").alias("created_at"),
                      F.col("kind").alias("task_or_metadata [dictionarytext]"), F.col("label"),
-                     answer.alias("answer"), F.col("answered_by"), F.col("answered_at"),
+                     F.col("answer"), F.col("answered_by"), F.col("answered_at"),
                      F.col("first_note"))
 
 

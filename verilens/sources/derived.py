@@ -50,7 +50,7 @@ TZ_OFFSETS = ["0", "+3", "-5"]
 MESSAGE_SEPARATOR = "\n⁣"
 MESSAGE_ID_BASE = 1_000_000_000
 SMOOCH_USER_ID_BASE = 1_100_000_000
-MEDIA_COUNT = 200       # project_medias.media_id = o_orderkey % 200
+ORDERS_PER_MEDIA = 8    # project_medias.media_id = o_orderkey div 8 (a part key)
 PROJECT_MODULUS = 30    # project ids 25..29 have no project row
 VERSION_ITEMS = 300     # versions touch item(event_id % 300)
 
@@ -73,9 +73,8 @@ def _pick(index: Column, values: list[str]) -> Column:
     return out
 
 
-def _rows(names: list[str], *rows: tuple) -> Column:
-    """array<struct> with the same field names in every element (for inline)."""
-    return F.array(*[F.struct(*[v.alias(n) for n, v in zip(names, r)]) for r in rows])
+def _null() -> Column:
+    return F.lit(None).cast("string")
 
 
 def _item(k: Column) -> Column:
@@ -157,7 +156,7 @@ def project_medias(spark, sf_dir):
         ok.alias("id"),
         F.date_format("o_orderdate", TS_FORMAT).alias("created_at"),
         F.col("o_custkey").alias("user_id"),
-        (ok % MEDIA_COUNT).alias("media_id"),
+        (ok / ORDERS_PER_MEDIA).cast("long").alias("media_id"),
         F.lit(1).alias("team_id"),
         (ok % PROJECT_MODULUS).alias("project_id"),
         F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("archived")),
@@ -183,39 +182,51 @@ def relationships(spark, sf_dir):
         F.when(n % 2 == 0, F.col("p") % 150).alias("confirmed_by")), "relationships")
 
 
-def _line_annotations(b: DataFrame) -> DataFrame:
+def _line_annotation_branches(b: DataFrame) -> list[DataFrame]:
+    """Annotations from order lines, one branch per kind with literal type
+    columns: a query that filters on ``annotation_type``/``annotated_type``
+    gets the other branches pruned by Catalyst (filter through union +
+    constant folding), as a real table scan with pushdown would."""
     k, n, p = F.col("k"), F.col("n"), F.col("p")
-    kind5 = _pick(k % 6, [f"task_response_{x}" for x in RESPONSE_KINDS])
-    annotation_type = (F.when(n == 1, "verification_status").when(n == 2, "tag")
-                       .when(n == 3, "comment").when(n == 4, "task").when(n == 5, kind5)
-                       .when(n == 6, _pick(k % 3, ["language", "metadata", "report_design"]))
-                       .otherwise(_pick(k % 4, ["metrics", "metadata", "comment", "comment"])))
-    on_task = (n == 5) | ((n == 7) & (k % 4 == 2))
-    on_media = (n == 7) & (k % 4 == 1)
-    annotated_type = (F.when(on_task, "Task").when(on_media, "Media")
-                      .otherwise("ProjectMedia"))
-    annotated_id = (F.when(on_task, k * 10 + 4).when(on_media, k % MEDIA_COUNT)
-                    .otherwise(_item(k)))
     header = F.lit(RUBY_HASH_HEADER + NL)
     comment = F.concat(header, F.lit("text: note "), _s(k), F.lit(NL))
-    data = (F.when(n == 2, F.concat(header, F.lit("tag: "), _s(p), F.lit(NL)))
-            .when(n == 3, comment)
-            .when(n == 4, F.concat(header, F.lit("label: Question "), _s(p % 10), F.lit(NL),
-                                   F.when(k % 2 == 0, F.lit("fieldset: metadata\n"))
-                                   .otherwise(F.lit(""))))
-            .when((n == 6) & (k % 3 == 2),
-                  F.concat(header, F.lit("state: "),
-                           F.when(p % 2 == 0, F.lit("published")).otherwise(F.lit("paused")),
-                           F.lit(NL)))
-            .when((n == 7) & (k % 4 >= 2), comment))
-    file = F.when((n == 5) & (k % 6 == 5) & (p % 2 == 0),
-                  F.concat(F.lit('["Image '), _s(k), F.lit('.png"]')))
-    return b.select(
-        (k * 10 + n).alias("id"), annotation_type.alias("annotation_type"),
-        annotated_type.alias("annotated_type"), annotated_id.alias("annotated_id"),
-        F.lit("User").alias("annotator_type"), (p % 150).alias("annotator_id"),
-        data.alias("data"), file.alias("file"),
-        F.date_format("ts", TS_FORMAT).alias("created_at"))
+    on_item, on_task, on_media = _item(k), k * 10 + 4, (k / ORDERS_PER_MEDIA).cast("long")
+
+    def branch(cond, annotation_type, annotated_type, annotated_id, data=None, file=None):
+        return b.filter(cond).select(
+            (k * 10 + n).alias("id"), F.lit(annotation_type).alias("annotation_type"),
+            F.lit(annotated_type).alias("annotated_type"), annotated_id.alias("annotated_id"),
+            F.lit("User").alias("annotator_type"), (p % 150).alias("annotator_id"),
+            (data if data is not None else _null()).alias("data"),
+            (file if file is not None else _null()).alias("file"),
+            F.date_format("ts", TS_FORMAT).alias("created_at"))
+
+    out = [
+        branch(n == 1, "verification_status", "ProjectMedia", on_item),
+        branch(n == 2, "tag", "ProjectMedia", on_item,
+               F.concat(header, F.lit("tag: "), _s(p), F.lit(NL))),
+        branch(n == 3, "comment", "ProjectMedia", on_item, comment),
+        branch(n == 4, "task", "ProjectMedia", on_item,
+               F.concat(header, F.lit("label: Question "), _s(p % 10), F.lit(NL),
+                        F.when(k % 2 == 0, F.lit("fieldset: metadata\n")).otherwise(F.lit("")))),
+    ]
+    for i, kind in enumerate(RESPONSE_KINDS):
+        file = (F.when(p % 2 == 0, F.concat(F.lit('["Image '), _s(k), F.lit('.png"]')))
+                if kind == "image_upload" else None)
+        out.append(branch((n == 5) & (k % 6 == i), f"task_response_{kind}", "Task", on_task,
+                          file=file))
+    out += [
+        branch((n == 6) & (k % 3 == 0), "language", "ProjectMedia", on_item),
+        branch((n == 6) & (k % 3 == 1), "metadata", "ProjectMedia", on_item),
+        branch((n == 6) & (k % 3 == 2), "report_design", "ProjectMedia", on_item,
+               F.concat(header, F.lit("state: "),
+                        F.when(p % 2 == 0, F.lit("published")).otherwise(F.lit("paused")), F.lit(NL))),
+        branch((n == 7) & (k % 4 == 0), "metrics", "ProjectMedia", on_item),
+        branch((n == 7) & (k % 4 == 1), "metadata", "Media", on_media),
+        branch((n == 7) & (k % 4 == 2), "comment", "Task", on_task, comment),
+        branch((n == 7) & (k % 4 == 3), "comment", "ProjectMedia", on_item, comment),
+    ]
+    return out
 
 
 def _conversation_keys(spark, sf_dir) -> DataFrame:
@@ -227,16 +238,17 @@ def _message_created_at(c: Column) -> Column:
                     F.lpad(_s(c % 24), 2, "0"), F.lit(":00:00"))
 
 
-def _message_annotations(spark, sf_dir) -> DataFrame:
+def _message_annotations(spark, sf_dir) -> list[DataFrame]:
     c = F.col("conv_id")
-    kind = c % 3
-    return _conversation_keys(spark, sf_dir).select(
+    keys = _conversation_keys(spark, sf_dir)
+    targets = [("ProjectMedia", c * 3), ("BotResource", c % 10), ("Team", F.lit(1).cast("long"))]
+    return [keys.filter(c % 3 == i).select(
         (c + MESSAGE_ID_BASE).alias("id"), F.lit("smooch").alias("annotation_type"),
-        _pick(kind, ["ProjectMedia", "BotResource", "Team"]).alias("annotated_type"),
-        F.when(kind == 0, c * 3).when(kind == 1, c % 10).otherwise(F.lit(1)).alias("annotated_id"),
+        F.lit(annotated_type).alias("annotated_type"), target.alias("annotated_id"),
         F.lit("Bot").alias("annotator_type"), F.lit(None).cast("long").alias("annotator_id"),
-        F.lit(None).cast("string").alias("data"), F.lit(None).cast("string").alias("file"),
+        _null().alias("data"), _null().alias("file"),
         _message_created_at(c).alias("created_at"))
+        for i, (annotated_type, target) in enumerate(targets)]
 
 
 def _platform_users(spark, sf_dir) -> DataFrame:
@@ -260,11 +272,18 @@ def _user_annotations(spark, sf_dir) -> DataFrame:
         F.lit("2021-01-01 00:00:00").alias("created_at"))
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def annotations(spark, sf_dir):
     b = order_lines(spark, sf_dir)
-    return _conform(_line_annotations(b)
-                    .unionByName(_message_annotations(spark, sf_dir))
-                    .unionByName(_user_annotations(spark, sf_dir)), "annotations")
+    parts = (_line_annotation_branches(b) + _message_annotations(spark, sf_dir)
+             + [_user_annotations(spark, sf_dir)])
+    return _conform(_union(parts), "annotations")
 
 
 def _metadata_json(kind: str, k: Column, p: Column, ts: Column) -> Column:
@@ -307,55 +326,61 @@ def _response_value(k: Column, p: Column, s: Column, q: Column, ts: Column) -> C
             .otherwise(_jstr(F.concat(F.lit("Image "), _s(k), F.lit(".png")))))
 
 
-FIELD_ROW = ["j", "keep", "annotation_type", "field_name", "field_type", "value",
-             "value_json"]
-
+def _field(df: DataFrame, annotation_id, j: int, annotation_type, field_name: str, field_type,
+           value=None, value_json=None) -> DataFrame:
+    """One attribute-field branch; literal ``field_name`` (and literal types
+    where constant) so filters on them prune the other branches."""
+    lit = lambda v: F.lit(v) if isinstance(v, str) else v
+    return df.select((annotation_id * 10 + j).alias("id"), annotation_id.alias("annotation_id"),
+                     lit(annotation_type).alias("annotation_type"), F.lit(field_name).alias("field_name"),
+                     lit(field_type).alias("field_type"),
+                     (value if value is not None else _null()).alias("value"),
+                     (value_json if value_json is not None else _null()).alias("value_json"))
 
-def _null() -> Column:
-    return F.lit(None).cast("string")
 
-
-def _line_fields(b: DataFrame) -> DataFrame:
+def _line_fields(b: DataFrame) -> list[DataFrame]:
     k, n, p, s, q, ts = (F.col(c) for c in ("k", "n", "p", "s", "q", "ts"))
+    a = k * 10 + n
     qi = q.cast("long")
-    j0, j1, j2 = F.lit(0), F.lit(1), F.lit(2)
-    vs = F.lit("verification_status")
-    rows = _rows(
-        FIELD_ROW,
-        (j0, n == 1, vs, F.lit("verification_status_status"), F.lit("select"),
-         _jstr(_pick(p % 4, STATUS_IDS)), _null()),
-        (j1, (n == 1) & (k % 2 == 0), vs, F.lit("title"), F.lit("text"),
-         _jstr(F.concat(F.lit("Title "), _s(k))), _null()),
-        (j2, (n == 1) & (k % 5 == 0), vs, F.lit("content"), F.lit("text"),
-         _jstr(F.concat(F.lit("Content for "), _s(k))), _null()),
-        (j0, n == 5, _pick(k % 6, [f"task_response_{x}" for x in RESPONSE_KINDS]),
-         _pick(k % 6, [f"response_{x}" for x in RESPONSE_KINDS]),
-         _pick(k % 6, RESPONSE_FIELD_TYPES), _response_value(k, p, s, q, ts),
-         F.when(k % 12 == 0, _jstr(F.concat(F.lit("json answer "), _s(k))))),
-        (j0, (n == 6) & (k % 3 == 0), F.lit("language"), F.lit("language"), F.lit("language"),
-         _jstr(_pick(p % 4, LANGUAGES)), _null()),
-        (j0, (n == 6) & (k % 3 == 1), F.lit("metadata"), F.lit("metadata_value"), F.lit("json"),
-         _null(), _metadata_json("Item", k, p, ts)),
-        (j0, (n == 7) & (k % 4 == 0), F.lit("metrics"), F.lit("metrics_data"), F.lit("json"),
-         _null(), _metrics_json(qi, qi % 10, qi * 2)),
-        (j1, (n == 7) & (k % 4 == 0), F.lit("metrics"), F.lit("metrics_data"), F.lit("json"),
-         _null(), _metrics_json(qi % 9, qi + 5, qi * 3 % 11)),
-        (j0, (n == 7) & (k % 4 == 1), F.lit("metadata"), F.lit("metadata_value"), F.lit("json"),
-         _null(), _metadata_json("Media", k, p, ts)),
-    )
-    return (b.select((k * 10 + n).alias("a"), F.inline(rows))
-            .filter("keep")
-            .select((F.col("a") * 10 + F.col("j")).alias("id"), F.col("a").alias("annotation_id"),
-                    "annotation_type", "field_name", "field_type", "value", "value_json"))
-
-
-def _message_fields(spark, sf_dir) -> DataFrame:
+    vs = "verification_status"
+    out = [
+        _field(b.filter(n == 1), a, 0, vs, "verification_status_status", "select",
+               _jstr(_pick(p % 4, STATUS_IDS))),
+        _field(b.filter((n == 1) & (k % 2 == 0)), a, 1, vs, "title", "text",
+               _jstr(F.concat(F.lit("Title "), _s(k)))),
+        _field(b.filter((n == 1) & (k % 5 == 0)), a, 2, vs, "content", "text",
+               _jstr(F.concat(F.lit("Content for "), _s(k)))),
+    ]
+    for i, kind in enumerate(RESPONSE_KINDS):
+        value_json = (F.when(k % 12 == 0, _jstr(F.concat(F.lit("json answer "), _s(k))))
+                      if kind == "free_text" else None)
+        out.append(_field(b.filter((n == 5) & (k % 6 == i)), a, 0, f"task_response_{kind}",
+                          f"response_{kind}", RESPONSE_FIELD_TYPES[i],
+                          _response_value(k, p, s, q, ts), value_json))
+    out += [
+        _field(b.filter((n == 6) & (k % 3 == 0)), a, 0, "language", "language", "language",
+               _jstr(_pick(p % 4, LANGUAGES))),
+        _field(b.filter((n == 6) & (k % 3 == 1)), a, 0, "metadata", "metadata_value", "json",
+               None, _metadata_json("Item", k, p, ts)),
+        _field(b.filter((n == 7) & (k % 4 == 0)), a, 0, "metrics", "metrics_data", "json",
+               None, _metrics_json(qi, qi % 10, qi * 2)),
+        _field(b.filter((n == 7) & (k % 4 == 0)), a, 1, "metrics", "metrics_data", "json",
+               None, _metrics_json(qi % 9, qi + 5, qi * 3 % 11)),
+        _field(b.filter((n == 7) & (k % 4 == 1)), a, 0, "metadata", "metadata_value", "json",
+               None, _metadata_json("Media", k, p, ts)),
+    ]
+    return out
+
+
+def _message_fields(spark, sf_dir) -> list[DataFrame]:
     conv = read_table(spark, sf_dir, "conversations")
     c = F.col("conv_id")
+    keys = _conversation_keys(spark, sf_dir)
+    a = c + MESSAGE_ID_BASE
     turns = conv.filter(F.col("role") == "user").groupBy("conv_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))),
                                  lambda x: x["text"]), MESSAGE_SEPARATOR).alias("text"))
-    msgs = _conversation_keys(spark, sf_dir).join(turns, "conv_id", "left")
+    msgs = keys.join(turns, "conv_id", "left")
     data = F.to_json(F.struct(
         F.struct(_pick(c % 3, PLATFORMS).alias("type"),
                  F.concat(F.lit("m"), _s(c)).alias("originalMessageId")).alias("source"),
@@ -363,22 +388,17 @@ def _message_fields(spark, sf_dir) -> DataFrame:
         F.concat(F.lit("u"), _s(c % 7)).alias("authorId"),
         _pick(c % 3, ["en", "es", "pt"]).alias("language"),
         F.col("text").alias("text")), {"ignoreNullFields": "false"})
-    sm = F.lit("smooch")
-    rows = _rows(
-        FIELD_ROW,
-        (F.lit(0), F.lit(True), sm, F.lit("smooch_data"), F.lit("json"), _null(), data),
-        (F.lit(1), F.lit(True), sm, F.lit("smooch_conversation_id"), F.lit("text"),
-         _jstr(F.concat(F.lit("c"), _s(c))), _null()),
-        (F.lit(2), c % 2 == 0, sm, F.lit("smooch_resource_id"), F.lit("text"), _s(c % 10), _null()),
-        (F.lit(3), c % 5 != 0, sm, F.lit("smooch_request_type"), F.lit("text"),
-         _pick(c % 3, REQUEST_TYPES), _null()),
-    )
-    return (msgs.select((c + MESSAGE_ID_BASE).alias("a"), F.inline(rows)).filter("keep")
-            .select((F.col("a") * 10 + F.col("j")).alias("id"), F.col("a").alias("annotation_id"),
-                    "annotation_type", "field_name", "field_type", "value", "value_json"))
-
-
-def _user_fields(spark, sf_dir) -> DataFrame:
+    return [
+        _field(msgs, a, 0, "smooch", "smooch_data", "json", None, data),
+        _field(keys, a, 1, "smooch", "smooch_conversation_id", "text",
+               _jstr(F.concat(F.lit("c"), _s(c)))),
+        _field(keys.filter(c % 2 == 0), a, 2, "smooch", "smooch_resource_id", "text", _s(c % 10)),
+        _field(keys.filter(c % 5 != 0), a, 3, "smooch", "smooch_request_type", "text",
+               _pick(c % 3, REQUEST_TYPES)),
+    ]
+
+
+def _user_fields(spark, sf_dir) -> list[DataFrame]:
     u, client = F.col("u"), F.col("client")
     client_json = (F.when(client == 0, F.concat(F.lit(',"externalId":"ext'), _s(u), F.lit('"')))
                    .when(client == 1, F.concat(F.lit(',"displayName":"Name '), _s(u), F.lit('"')))
@@ -387,22 +407,19 @@ def _user_fields(spark, sf_dir) -> DataFrame:
                    .otherwise(F.concat(F.lit(',"externalId":"ext'), _s(u), F.lit('b"'))))
     data = F.concat(F.lit('{"id":"u'), _s(u), F.lit('","raw":{"clients":[{"platform":"'),
                     F.col("platform"), F.lit('"'), client_json, F.lit("}]}}"))
-    su = F.lit("smooch_user")
-    rows = _rows(
-        FIELD_ROW,
-        (F.lit(0), F.lit(True), su, F.lit("smooch_user_data"), F.lit("json"), _null(), data),
-        (F.lit(1), u % 2 == 0, su, F.lit("smooch_user_slack_channel_url"), F.lit("text"),
-         _jstr(F.concat(F.lit("https://slack.example.org/u"), _s(u))), _null()),
-    )
-    return (_platform_users(spark, sf_dir).select("id", F.inline(rows)).filter("keep")
-            .select((F.col("id") * 10 + F.col("j")).alias("id"), F.col("id").alias("annotation_id"),
-                    "annotation_type", "field_name", "field_type", "value", "value_json"))
+    pu = _platform_users(spark, sf_dir)
+    a = F.col("id")
+    return [
+        _field(pu, a, 0, "smooch_user", "smooch_user_data", "json", None, data),
+        _field(pu.filter(u % 2 == 0), a, 1, "smooch_user", "smooch_user_slack_channel_url", "text",
+               _jstr(F.concat(F.lit("https://slack.example.org/u"), _s(u)))),
+    ]
 
 
 def dynamic_annotation_fields(spark, sf_dir):
     b = order_lines(spark, sf_dir)
-    return _conform(_line_fields(b).unionByName(_message_fields(spark, sf_dir))
-                    .unionByName(_user_fields(spark, sf_dir)), "dynamic_annotation_fields")
+    parts = _line_fields(b) + _message_fields(spark, sf_dir) + _user_fields(spark, sf_dir)
+    return _conform(_union(parts), "dynamic_annotation_fields")
 
 
 def versions(spark, sf_dir):
