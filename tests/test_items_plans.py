@@ -1,0 +1,19 @@
+"""The folded items plan equals the one-join-per-relation plan."""
+
+from conftest import SF_SMALL
+from verilens.plans import items as I
+from verilens.sources.derived import derive_workspace
+
+
+def test_folded_equals_plain(spark):
+    ws = derive_workspace(spark, SF_SMALL)
+    a = I.items(ws, ordered=False)
+    b = I.items(ws, ordered=False, folded=False)
+    assert a.columns == b.columns
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_ordered(spark):
+    ws = derive_workspace(spark, SF_SMALL)
+    ids = [r.item_id for r in I.items(ws).select("item_id").collect()]
+    assert ids == sorted(ids, reverse=True)
