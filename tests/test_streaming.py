@@ -1,0 +1,28 @@
+"""A manifest line for a snapshot produces that snapshot's report."""
+
+import json
+import os
+import tempfile
+
+from conftest import SF_SMALL
+from verilens.plans.reports import report
+from verilens.sources.derived import derive_workspace
+from verilens.sources.workspace import load_workspace, write_workspace
+from verilens.streaming.snapshots import report_stream
+
+
+def test_report_stream(spark):
+    root = tempfile.mkdtemp(prefix="stream-test-")
+    snapshot = os.path.join(root, "snap-1")
+    write_workspace(derive_workspace(spark, SF_SMALL), snapshot)
+    manifests = os.path.join(root, "manifests")
+    os.makedirs(manifests)
+    with open(os.path.join(manifests, "m1.json"), "w") as fh:
+        fh.write(json.dumps({"snapshot": snapshot, "report": "conversations"}) + "\n")
+    out = os.path.join(root, "out")
+    q = report_stream(spark, manifests, out, os.path.join(root, "ckpt"), available_now=True)
+    q.awaitTermination(300)
+    got = spark.read.parquet(os.path.join(out, "conversations", "snap-1"))
+    want = report(load_workspace(spark, snapshot), "conversations", ordered=False)
+    assert got.count() == want.count() > 0
+    assert got.columns == want.columns

@@ -32,3 +32,21 @@ def resolve_roles(df: DataFrame, key: str, roles: dict[str, str], dim: DataFrame
         F.any_value("_payload").alias("_payload"),
         *[F.max(F.when(F.col("_r.role") == i, F.col("_value"))).alias(n) for i, n in enumerate(names)])
     return folded.select(key, "_payload.*", *names)
+
+
+def left_join_skew_safe(left: DataFrame, right: DataFrame, left_key: str, right_key: str
+                        ) -> DataFrame:
+    """``left LEFT JOIN right ON left_key = right_key`` for a right side whose
+    keys may be very unevenly spread (one key holding a large share of rows).
+
+    Adaptive execution can split a skewed partition of the left side of a
+    left outer join but never of the right side.  Written as an inner join
+    (either side can be split) plus the left rows without a match (an anti
+    join against the right side's distinct keys, one row per key), the
+    result is the same and both parts stay skew-tolerant."""
+    matched = left.join(right, left[left_key] == right[right_key], "inner")
+    keys = right.select(F.col(right_key).alias("_rk")).distinct()
+    unmatched = left.join(keys, left[left_key] == keys["_rk"], "left_anti")
+    for f in right.schema.fields:
+        unmatched = unmatched.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return matched.unionByName(unmatched)

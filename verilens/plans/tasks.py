@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from verilens.functions.answers import DEFAULT_ASSET_BASE_URL, value_source, with_answer
 from verilens.functions.strings import strip_ruby_header
 from verilens.functions.yaml_text import comment_text, has_line, task_label
+from verilens.operators.lookup import left_join_skew_safe
 from verilens.operators.topk import first_per_key, id_bucket, row_number
 from verilens.operators.typing import typed
 
@@ -83,7 +84,7 @@ def task_rows(ws: Workspace, asset_base_url: str = DEFAULT_ASSET_BASE_URL) -> Da
     notes = first_task_comments(ws).select(F.col("task_id").alias("n_task_id"),
                                            F.col("comment").alias("first_note"))
     answers = answered_responses(ws, asset_base_url)
-    df = tasks.join(answers, tasks.task_id == answers.r_task_id, "left")
+    df = left_join_skew_safe(tasks, answers, "task_id", "r_task_id")
     df = df.join(notes, df.task_id == notes.n_task_id, "left")
     return df.select(F.col("task_id"), F.col("item_id"), F.col("task_created_at").alias("created_at"),
                      F.col("kind").alias("task_or_metadata [dictionarytext]"), F.col("label"),

@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from verilens.operators.string_agg import ordered_concat
 from verilens.schemas import WORKSPACE_SCHEMAS
 
 # Fixed values of the derived workspace (shared with the SQL version).
@@ -377,9 +378,10 @@ def _message_fields(spark, sf_dir) -> list[DataFrame]:
     c = F.col("conv_id")
     keys = _conversation_keys(spark, sf_dir)
     a = c + MESSAGE_ID_BASE
-    turns = conv.filter(F.col("role") == "user").groupBy("conv_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))),
-                                 lambda x: x["text"]), MESSAGE_SEPARATOR).alias("text"))
+    # user turns in turn order; two-level so a very long conversation is not
+    # sorted by one task
+    turns = ordered_concat(conv.filter(F.col("role") == "user"), ["conv_id"], "turn", "text",
+                           MESSAGE_SEPARATOR, "text", bucket=F.floor(F.col("turn") / 64))
     msgs = keys.join(turns, "conv_id", "left")
     data = F.to_json(F.struct(
         F.struct(_pick(c % 3, PLATFORMS).alias("type"),

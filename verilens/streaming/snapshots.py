@@ -1,0 +1,55 @@
+"""Reports for workspace snapshots as they arrive.
+
+A report is rendered whenever a new workspace export is available.  Here the
+exports are Parquet snapshot folders, and a manifest folder receives one JSON
+line per snapshot: ``{"snapshot": "<folder>", "report": "items"}``.  A
+file-source stream picks up new manifest lines; ``foreachBatch`` builds each
+requested report over its snapshot (an ordinary batch job, distributed like
+any other) and writes it under ``<out_dir>/<report>/<snapshot name>``.
+
+The stream state (which manifest files were done) lives in the checkpoint
+folder, and each output path is a function of the manifest line written with
+``overwrite``, so a restarted stream neither skips nor duplicates a snapshot.
+Only the manifest lines of a micro-batch (a handful of paths) reach the
+driver; report data never does.
+"""
+
+from __future__ import annotations
+
+import posixpath
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from verilens.plans.reports import report
+from verilens.session import ensure_checkpoint_dir
+from verilens.sources.workspace import load_workspace, validate_workspace
+
+MANIFEST_SCHEMA = T.StructType([T.StructField("snapshot", T.StringType()),
+                                T.StructField("report", T.StringType())])
+
+
+def render_snapshot(spark: SparkSession, snapshot: str, name: str, out_dir: str) -> str:
+    ws = load_workspace(spark, snapshot)
+    validate_workspace(ws)
+    target = posixpath.join(out_dir.rstrip("/"), name, posixpath.basename(snapshot.rstrip("/")))
+    report(ws, name, ordered=False).write.mode("overwrite").parquet(target)
+    return target
+
+
+def report_stream(spark: SparkSession, manifest_dir: str, out_dir: str,
+                  checkpoint_dir: str | None = None, available_now: bool = False) -> StreamingQuery:
+    """Start the stream; ``available_now`` processes what is there and stops."""
+    if checkpoint_dir is None:
+        checkpoint_dir = posixpath.join(ensure_checkpoint_dir(spark).rstrip("/"), "report-stream")
+
+    def handle(batch: DataFrame, _epoch: int) -> None:
+        for row in batch.dropDuplicates(["snapshot", "report"]).collect():
+            render_snapshot(batch.sparkSession, row.snapshot, row.report or "items", out_dir)
+
+    writer = (spark.readStream.schema(MANIFEST_SCHEMA).json(manifest_dir)
+              .writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_dir))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
