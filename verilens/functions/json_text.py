@@ -49,3 +49,9 @@ def python_text(v: Column) -> Column:
                    .otherwise(F.lit("False")))
             .when(t == "VOID", F.lit("None"))
             .otherwise(variant_text(v)))
+
+
+def is_malformed(c: Column) -> Column:
+    """True for a non-NULL text that is not a JSON document (those decode to
+    NULL; counting them keeps the deviation visible)."""
+    return c.isNotNull() & F.try_parse_json(c).isNull()

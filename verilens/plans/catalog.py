@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from verilens.functions import strings as S
 from verilens.functions.answers import format_answer, value_source
-from verilens.functions.json_text import json_path, json_scalar
+from verilens.functions.json_text import is_malformed, json_path, json_scalar
 from verilens.functions.timestamps import with_iso_timestamps
 from verilens.functions.yaml_text import comment_text, task_label
 from verilens.operators import topk
@@ -411,9 +411,18 @@ def _json_array_index(ws):
         "annotation_id", json_path(f.value_json, "$.raw.clients[0].platform").alias("platform"))
 
 
-@ws_query("coalesce_title", "SELECT item_id, item_title FROM r_items")
+@ws_query("coalesce_title", "SELECT pm.id AS item_id, COALESCE(json_extract_string(pmm.metadata_json, '$.title'), "
+                            "json_extract_string(mm.metadata_json, '$.title')) AS item_title "
+                            "FROM project_medias pm LEFT JOIN r_item_metadata pmm ON pmm.project_media_id = pm.id "
+                            "LEFT JOIN r_media_metadata mm ON mm.media_id = pm.media_id")
 def _coalesce_title(ws):
-    return I.items(ws, ordered=False).select("item_id", "item_title")
+    pm = ws["project_medias"].select(F.col("id").alias("item_id"), "media_id")
+    pmm = I.item_metadatas(ws).select(F.col("project_media_id").alias("_pmm_id"),
+                                      json_path(F.col("metadata_json"), "$.title").alias("_t1"))
+    mm = I.media_metadatas(ws).select(F.col("media_id").alias("_mm_id"),
+                                      json_path(F.col("metadata_json"), "$.title").alias("_t2"))
+    j = pm.join(pmm, pm.item_id == pmm._pmm_id, "left").join(mm, pm.media_id == mm._mm_id, "left")
+    return j.select("item_id", F.coalesce("_t1", "_t2").alias("item_title"))
 
 
 @ws_query("case_simple", "SELECT id, CASE type WHEN 'Claim' THEN 'Text' ELSE type END AS media_type FROM medias")
@@ -454,16 +463,14 @@ def _str_concat_null(ws):
     return C.message_data(ws).select("annotation_id", "conversation_id")
 
 
-@ws_query("str_build_url", "SELECT item_id, check_url FROM r_items")
+@ws_query("str_build_url", "SELECT pm.id AS item_id, '" + I.DEFAULT_ITEM_BASE_URL + "' || t.slug || "
+                           "'/media/' || CAST(pm.id AS VARCHAR) AS check_url "
+                           "FROM project_medias pm JOIN teams t ON t.id = pm.team_id")
 def _str_build_url(ws):
     pm, t = ws["project_medias"], ws["teams"]
     j = pm.join(t.select(F.col("id").alias("t_id"), "slug"), pm.team_id == F.col("t_id"))
-    j = j.join(ws["medias"].select(F.col("id").alias("m_id")), pm.media_id == F.col("m_id"))
-    # one row per item of the report (fan-out of the report is not part of this operator)
-    report = I.items(ws, ordered=False).select(F.col("item_id").alias("r_id"))
-    urls = j.select(pm.id.alias("item_id"),
+    return j.select(pm.id.alias("item_id"),
                     S.build_item_url(I.DEFAULT_ITEM_BASE_URL, F.col("slug"), pm.id).alias("check_url"))
-    return report.join(urls, F.col("r_id") == urls.item_id).select("item_id", "check_url")
 
 
 @ws_query("cast_prefix_int", f"SELECT id, {Q.prefix_int('value')} AS n FROM dynamic_annotation_fields")
@@ -485,6 +492,13 @@ def _ts_iso_parse(ws):
     return with_iso_timestamps(rows, {"created_at": "created_at"})
 
 
+@ws_query("bad_json", "SELECT field_name, COUNT(*) FILTER (WHERE value IS NOT NULL AND NOT json_valid(value)) "
+                      "AS bad_json FROM dynamic_annotation_fields GROUP BY field_name")
+def _bad_json(ws):
+    f = ws["dynamic_annotation_fields"]
+    return f.groupBy("field_name").agg(F.count(F.when(is_malformed(f.value), 1)).alias("bad_json"))
+
+
 # ---------------------------------------------------------- typing, parsers
 
 
