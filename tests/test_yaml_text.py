@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from verilens.functions.yaml_text import comment_text, task_label
+from verilens.functions.yaml_text import comment_text, task_label, with_comment_text, with_task_label
 
 H = "--- !ruby/hash:ActiveSupport::HashWithIndifferentAccess\n"
 
@@ -64,3 +64,10 @@ def test_label(labels, i):
 @pytest.mark.parametrize("i", range(len(COMMENTS)))
 def test_comment(comments, i):
     assert comments[i] == COMMENTS[i][1], COMMENTS[i]
+
+
+@pytest.mark.parametrize("cases,op", [(LABELS, with_task_label), (COMMENTS, with_comment_text)])
+def test_split_operator(spark, cases, op):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, t string")
+    got = {r.i: r.v for r in op(df, "t", "v").collect()}
+    assert got == {i: want for i, (_, want) in enumerate(cases)}

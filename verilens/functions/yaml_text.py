@@ -134,3 +134,28 @@ def comment_text(comment_yaml: Column) -> Column:
 def has_line(data: Column, line: str) -> Column:
     """``data LIKE '%<newline><line><newline>%'`` (ASCII case-insensitive)."""
     return F.lower(data).contains("\n" + line.lower() + "\n")
+
+
+# ----------------------------------------------------- DataFrame operators
+
+
+def _with_scalar(df, col: str, out: str, key: str, allow_typed: bool, udf):
+    """Rows the expression reads faithfully (or that have no such key) stay
+    native; only the others are sent to the Python parser.  The two parts
+    are disjoint and together cover every row."""
+    c = F.col(col)
+    value, simple = _native_scalar(c, key, allow_typed)
+    easy_rows = simple | c.isNull() | _no_key(c, key)
+    easy = df.filter(easy_rows).withColumn(out, F.when(simple, value))
+    hard = df.filter(~easy_rows).withColumn(out, udf(c))
+    return easy.unionByName(hard)
+
+
+def with_task_label(df, col: str, out: str):
+    """``df`` plus ``out`` = first top-level scalar ``label`` of ``col``."""
+    return _with_scalar(df, col, out, "label", True, _label_udf)
+
+
+def with_comment_text(df, col: str, out: str):
+    """``df`` plus ``out`` = the ``text`` value of the comment YAML in ``col``."""
+    return _with_scalar(df, col, out, "text", False, _comment_text_udf)

@@ -20,7 +20,7 @@ from verilens.functions import strings as S
 from verilens.functions.answers import format_answer, value_source
 from verilens.functions.json_text import is_malformed, json_path, json_scalar
 from verilens.functions.timestamps import with_iso_timestamps
-from verilens.functions.yaml_text import comment_text, task_label
+from verilens.functions.yaml_text import with_comment_text, with_task_label
 from verilens.operators import topk
 from verilens.operators.statuses import label_statuses, status_vocabulary
 from verilens.operators.string_agg import ordered_concat, text_bucket
@@ -518,7 +518,7 @@ def _typed_projection(ws):
           Q.yaml_key("comment_yaml", "text") + " FROM r_task_comment_rows")
 def _yaml_comment_text(ws):
     rows = I._comments(ws, "ProjectMedia", "k").unionByName(I._comments(ws, "Task", "k"))
-    return rows.select("comment_id", comment_text(F.col("comment_yaml")).alias("text"))
+    return with_comment_text(rows, "comment_yaml", "text").select("comment_id", "text")
 
 
 @ws_query("yaml_task_label", "SELECT task_id, label FROM r_tasks")
@@ -527,7 +527,7 @@ def _yaml_task_label(ws):
     t = a.filter((a.annotated_type == "ProjectMedia") & (a.annotation_type == "task"))
     # one row per (task, response field), as in the tasks report
     rows = T.task_rows(ws).select("task_id")
-    labels = t.select(F.col("id").alias("t_id"), task_label(t.data).alias("label"))
+    labels = with_task_label(t.select(F.col("id").alias("t_id"), "data"), "data", "label").drop("data")
     return rows.join(labels, rows.task_id == labels.t_id).select("task_id", "label")
 
 

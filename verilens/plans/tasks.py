@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from verilens.functions.answers import DEFAULT_ASSET_BASE_URL, value_source, with_answer
 from verilens.functions.strings import strip_ruby_header
-from verilens.functions.yaml_text import comment_text, has_line, task_label
+from verilens.functions.yaml_text import has_line, with_comment_text, with_task_label
 from verilens.operators.lookup import left_join_skew_safe
 from verilens.operators.topk import first_per_key, id_bucket, row_number
 from verilens.operators.typing import typed
@@ -42,7 +42,7 @@ def task_comments(ws: Workspace) -> DataFrame:
 
 def first_task_comments(ws: Workspace) -> DataFrame:
     first = first_per_key(_task_comment_rows(ws), ["task_id"], ["comment_id"], ["comment_yaml"])
-    return first.select("task_id", comment_text(F.col("comment_yaml")).alias("comment"))
+    return with_comment_text(first, "comment_yaml", "comment").select("task_id", "comment")
 
 
 def task_or_metadata(data) -> F.Column:
@@ -80,7 +80,8 @@ def task_rows(ws: Workspace, asset_base_url: str = DEFAULT_ASSET_BASE_URL) -> Da
     tasks = a.filter((a.annotated_type == "ProjectMedia") & (a.annotation_type == "task")).select(
         F.col("id").alias("task_id"), F.col("annotated_id").alias("item_id"),
         F.col("created_at").alias("task_created_at"),
-        task_or_metadata(F.col("data")).alias("kind"), task_label(F.col("data")).alias("label"))
+        task_or_metadata(F.col("data")).alias("kind"), "data")
+    tasks = with_task_label(tasks, "data", "label").drop("data")
     notes = first_task_comments(ws).select(F.col("task_id").alias("n_task_id"),
                                            F.col("comment").alias("first_note"))
     answers = answered_responses(ws, asset_base_url)
