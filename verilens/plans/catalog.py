@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verilens.functions import strings as S
-from verilens.functions.answers import format_answer, value_source
+from verilens.functions.answers import value_source, with_answer
 from verilens.functions.json_text import is_malformed, json_path, json_scalar
 from verilens.functions.timestamps import with_iso_timestamps
 from verilens.functions.yaml_text import with_comment_text, with_task_label
@@ -552,9 +552,8 @@ def _answers(ws, field_types=None, annotation_type=None) -> DataFrame:
         rows = rows.filter(F.col("field_type").isin(field_types))
     if annotation_type:
         rows = rows.filter(F.col("annotation_type") == annotation_type)
-    return rows.select("field_id", format_answer(F.col("annotation_id"), F.col("annotation_type"),
-                                                 F.col("field_type"), F.col("v"), F.col("file"))
-                       .alias("answer"))
+    return with_answer(rows, "answer", "annotation_id", "annotation_type", "field_type", "v", "file") \
+        .select("field_id", "answer")
 
 
 def _answer_sql(where: str = "") -> str:
