@@ -23,7 +23,7 @@ def main(ws_dir: str, out_dir: str = "docs/plans") -> None:
     os.makedirs(out_dir, exist_ok=True)
     for name in ("items", "tasks", "conversations"):
         df = report(ws, name)
-        df.write.format("noop").mode("overwrite").save()      # final adaptive plan
+        df.collect()          # run this DataFrame itself so explain shows the final AQE plan
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             df.explain("formatted")
