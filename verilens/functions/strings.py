@@ -16,7 +16,10 @@ def prefix_int(c: Column) -> Column:
     """``CAST(text AS INT)``: the longest integer prefix (after blanks), 0 when
     there is none, NULL stays NULL.  ``'12\\nx'`` -> 12, ``'abc'`` -> 0."""
     digits = F.regexp_extract(c, r"^\s*([+-]?\d+)", 1)
-    return F.when(c.isNotNull(), F.coalesce(digits.try_cast("bigint"), F.lit(0)))
+    # a prefix beyond the 64-bit range saturates, as the SQL cast does
+    saturated = F.when(digits.startswith("-"), F.lit(-(1 << 63))).otherwise(F.lit((1 << 63) - 1))
+    value = F.when(digits == "", F.lit(0)).otherwise(F.coalesce(digits.try_cast("bigint"), saturated))
+    return F.when(c.isNotNull(), value)
 
 
 def substr_from(c: Column, start: Column) -> Column:
