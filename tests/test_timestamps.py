@@ -41,3 +41,51 @@ def parsed(spark):
 @pytest.mark.parametrize("i", range(len(CASES)))
 def test_iso(parsed, i):
     assert parsed[i] == CASES[i][1], CASES[i]
+
+
+def _random_iso(rnd):
+    def d2():
+        return f"{rnd.randint(0, 99):02d}"
+    y = f"{rnd.randint(1, 2100):04d}"
+    date = rnd.choice([
+        y, f"{y}-{d2()}", f"{y}{d2()}", f"{y}-{rnd.randint(1, 12):02d}-{rnd.randint(1, 31):02d}",
+        f"{y}{rnd.randint(1, 12):02d}{rnd.randint(1, 31):02d}", f"{y}-W{d2()}", f"{y}W{d2()}",
+        f"{y}-W{rnd.randint(0, 54):02d}-{rnd.randint(0, 9)}", f"{y}W{d2()}{rnd.randint(0, 9)}",
+        f"{y}-{rnd.randint(0, 400):03d}", f"{y}{rnd.randint(0, 400):03d}", f"{y}-{d2()}{d2()}"])
+    if rnd.random() < 0.4:
+        return date
+    h = rnd.choice([f"{rnd.randint(0, 25):02d}", "24", f"{rnd.randint(0, 9)}"])
+
+    def m():
+        return f"{rnd.randint(0, 61):02d}"
+    t = rnd.choice([h, f"{h}:{m()}", f"{h}{m()}", f"{h}:{m()}:{m()}", f"{h}{m()}{m()}", "24:00",
+                    "24:00:01", f"{h}:{m()}:{m()}.{rnd.randint(0, 10 ** rnd.randint(1, 9))}",
+                    f"{h}:{m()}:{m()},5", f"{h}:{m()}.5", f"{h}:{m()}{m()}"])
+    tz = rnd.choice(["", "Z", "z", f"+{d2()}", f"-{rnd.randint(0, 23):02d}:{rnd.randint(0, 59):02d}",
+                     f"+{rnd.randint(0, 23):02d}{rnd.randint(0, 59):02d}", " UTC", "+1"])
+    return date + rnd.choice(["T", " ", "x", "t", ":"]) + t + tz
+
+
+def test_iso_matches_dateutil(spark):
+    """Random ISO-like texts parse exactly as the public ``dateutil`` parser
+    does (aware results converted to UTC)."""
+    import random
+
+    from dateutil.parser import isoparse
+
+    def ref(v):
+        try:
+            x = isoparse(v)
+        except (ValueError, OverflowError):
+            return None
+        if x.tzinfo is not None:
+            x = x.astimezone(dt.timezone.utc).replace(tzinfo=None)
+        return x
+
+    rnd = random.Random(11)
+    values = [_random_iso(rnd) for _ in range(3000)]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, v string")
+    got = {r.i: r.o for r in df.select("i", iso_timestamp(F.col("v")).alias("o")).collect()}
+    bad = [(v, got[i], ref(v)) for i, v in enumerate(values) if got[i] != ref(v)]
+    assert not bad, bad[:10]
+    assert sum(ref(v) is not None for v in values) > 500

@@ -27,6 +27,16 @@ ISO_PATTERN = (
     r"(?:([Zz])|([+-])(\d{2})(?::?(\d{2}))?)?)?$"
 )
 
+# Fixed value: which shapes are accepted (the pattern above only captures).
+# A time may follow only a complete date; dashes and colons are used
+# consistently; week dates without a day and YYYY / YYYY-MM take no time.
+_TIME = (r"(?:[01]\d|2[0-4])(?::[0-5]\d(?::[0-5]\d(?:[.,]\d+)?)?|[0-5]\d(?:[0-5]\d(?:[.,]\d+)?)?)?"
+         r"(?:[Zz]|[+-]\d{2}(?::?\d{2})?)?")
+STRICT_PATTERN = (
+    r"^\d{4}(?:-\d{2}|-?W\d{2}"
+    rf"|(?:-\d{{2}}-\d{{2}}|\d{{4}}|-W\d{{2}}-[1-7]|W\d{{2}}[1-7]|-?\d{{3}})(?:.{_TIME})?)?$"
+)
+
 _GROUPS = ("year", "week", "weekday", "month", "day", "ordinal", "hour", "minute",
            "second", "fraction", "zulu", "sign", "off_h", "off_m")
 
@@ -42,7 +52,7 @@ def iso_parts(c: Column) -> Column:
     split (a group cannot hold ``|``; the separator character is not
     captured)."""
     packed = F.regexp_replace(c, ISO_PATTERN, "|".join(f"${i + 1}" for i in range(len(_GROUPS))))
-    return F.when(~c.rlike(FAST_PATTERN) & c.rlike(ISO_PATTERN), F.split(packed, r"\|"))
+    return F.when(~c.rlike(FAST_PATTERN) & c.rlike(STRICT_PATTERN), F.split(packed, r"\|"))
 
 
 def _from_parts(parts: Column) -> Column:
