@@ -26,6 +26,7 @@ LABELS = [
     ("label:\nother: x\n", None),
     ("label: [a, b]\nlabel: later\n", "later"),
     ("not: [valid\n", None),
+    ("label: before\nbad: [x\nlabel: after\n", "before"),
     (None, None),
 ]
 
@@ -71,3 +72,51 @@ def test_split_operator(spark, cases, op):
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, t string")
     got = {r.i: r.v for r in op(df, "t", "v").collect()}
     assert got == {i: want for i, (_, want) in enumerate(cases)}
+
+
+def _random_doc(rnd, key):
+    words = ["note", "BOOM Link", "a: b", "x #y", "it's", "#tag", "true", "12", "1.5", "~", "null",
+             "yes", "-dash", "[a, b]", "{a: 1}", "'quoted'", "'it''s'", '"dq"', '"tab\\tx"', "é ü",
+             "2020-01-02", "a:b", "a #b", "", "*ref", "&anchor x", "!tag x", "| ", "> "]
+    lines = []
+    if rnd.random() < 0.5:
+        lines.append("--- !ruby/hash:ActiveSupport::HashWithIndifferentAccess")
+    for _ in range(rnd.randint(1, 5)):
+        k = rnd.choice([key, key, "other", "type", f"{key}2", "options"])
+        v = rnd.choice(words)
+        lines.append(f"{k}: {v}".rstrip() if v else f"{k}:")
+        r = rnd.random()
+        if r < 0.15:
+            lines.append(f"  {rnd.choice(words)}")          # continuation / nested line
+        elif r < 0.25:
+            lines.append(f"- {key}: {rnd.choice(words)}")  # sequence at column 0
+    return "\n".join(lines) + rnd.choice(["\n", "", "\n\n"])
+
+
+@pytest.mark.parametrize("key,op,python", [
+    ("label", with_task_label, "_first_top_level_scalar"),
+    ("text", with_comment_text, "_loaded_text"),
+])
+def test_split_matches_yaml_parser(spark, key, op, python):
+    """Random YAML documents: the native reading and the parser agree."""
+    import random
+
+    import verilens.functions.yaml_text as Y
+
+    import yaml
+
+    def valid(d):
+        try:
+            yaml.safe_load(d)
+            return True
+        except yaml.YAMLError:
+            return False
+
+    rnd = random.Random(5)
+    docs = [d for d in (_random_doc(rnd, key) for _ in range(1500)) if valid(d)][:600]
+    assert len(docs) > 200
+    df = spark.createDataFrame(list(enumerate(docs)), "i int, t string")
+    got = {r.i: r.v for r in op(df, "t", "v").collect()}
+    want = {i: getattr(Y, python)(d, key) for i, d in enumerate(docs)}
+    bad = [(docs[i], got[i], want[i]) for i in got if got[i] != want[i]]
+    assert not bad, bad[:5]

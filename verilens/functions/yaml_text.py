@@ -31,8 +31,13 @@ def _key_line(key: str) -> str:
     return rf"(?m)^{key}:(?:[ \t]+(.*?))?[ \t]*$"
 
 
-def _native_scalar(c: Column, key: str, allow_typed: bool) -> tuple[Column, Column]:
-    """(value, simple) for the first top-level ``key:`` line of ``c``."""
+def _native_scalar(c: Column, key: str, allow_typed: bool,
+                   single_key: bool = False) -> tuple[Column, Column]:
+    """(value, simple) for the first top-level ``key:`` line of ``c``.
+
+    ``single_key``: the caller reads the document as a mapping, where a later
+    duplicate key wins, so a document with several ``key:`` lines is not
+    simple."""
     pattern = _key_line(key)
     raw = F.regexp_extract(c, pattern, 1)
     has_key = c.rlike(pattern)
@@ -50,6 +55,8 @@ def _native_scalar(c: Column, key: str, allow_typed: bool) -> tuple[Column, Colu
     # complex key could hide an earlier top-level key: not simple
     risky_prefix = c.rlike(rf"(?s)^(?:(?!\n{key}:).)*?(?:^|\n)[\[{{'\"?]")
     simple = has_key & next_ok & (plain | single | double) & ~risky_prefix
+    if single_key:
+        simple = simple & (F.regexp_count(c, F.lit(rf"(?m)^{key}:")) == 1)
     return value, simple
 
 
@@ -66,14 +73,29 @@ def _yaml_module():
     return yaml
 
 
+def _compose_readable_prefix(yaml, text: str):
+    """Compose the document; when it is invalid, compose the lines before the
+    reported error instead (a key read before the error still counts)."""
+    while text:
+        try:
+            return yaml.compose(text, Loader=yaml.SafeLoader)
+        except yaml.MarkedYAMLError as e:
+            mark = e.problem_mark or e.context_mark
+            lines = text.split("\n")
+            if mark is None or mark.line >= len(lines) or mark.line == 0:
+                return None
+            text = "\n".join(lines[:mark.line])
+        except yaml.YAMLError:
+            return None
+    return None
+
+
 def _first_top_level_scalar(text: str, key: str):
     """Raw scalar text of the first top-level ``key`` whose value is a
-    non-empty scalar; NULL when there is none or the YAML is invalid."""
+    non-empty scalar; NULL when there is none.  For an invalid document only
+    the part before the error is read."""
     yaml = _yaml_module()
-    try:
-        root = yaml.compose(text, Loader=yaml.SafeLoader)
-    except yaml.YAMLError:
-        return None
+    root = _compose_readable_prefix(yaml, text)
     if not isinstance(root, yaml.MappingNode):
         return None
     for k, v in root.value:
@@ -126,7 +148,7 @@ def task_label(data: Column) -> Column:
 
 def comment_text(comment_yaml: Column) -> Column:
     """``text`` of a comment's YAML mapping, as text."""
-    value, simple = _native_scalar(comment_yaml, "text", allow_typed=False)
+    value, simple = _native_scalar(comment_yaml, "text", allow_typed=False, single_key=True)
     hard = comment_yaml.isNotNull() & ~simple & ~_no_key(comment_yaml, "text")
     return F.when(simple, value).when(hard, _comment_text_udf(F.when(hard, comment_yaml)))
 
@@ -139,12 +161,12 @@ def has_line(data: Column, line: str) -> Column:
 # ----------------------------------------------------- DataFrame operators
 
 
-def _with_scalar(df, col: str, out: str, key: str, allow_typed: bool, udf):
+def _with_scalar(df, col: str, out: str, key: str, allow_typed: bool, udf, single_key=False):
     """Rows the expression reads faithfully (or that have no such key) stay
     native; only the others are sent to the Python parser.  The two parts
     are disjoint and together cover every row."""
     c = F.col(col)
-    value, simple = _native_scalar(c, key, allow_typed)
+    value, simple = _native_scalar(c, key, allow_typed, single_key)
     easy_rows = simple | c.isNull() | _no_key(c, key)
     easy = df.filter(easy_rows).withColumn(out, F.when(simple, value))
     hard = df.filter(~easy_rows).withColumn(out, udf(c))
@@ -158,4 +180,4 @@ def with_task_label(df, col: str, out: str):
 
 def with_comment_text(df, col: str, out: str):
     """``df`` plus ``out`` = the ``text`` value of the comment YAML in ``col``."""
-    return _with_scalar(df, col, out, "text", False, _comment_text_udf)
+    return _with_scalar(df, col, out, "text", False, _comment_text_udf, single_key=True)
