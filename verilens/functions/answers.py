@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from verilens.functions.json_text import python_text, variant, variant_text, variant_type
+from verilens.functions.json_text import python_number, python_text, variant, variant_text, variant_type
 from verilens.functions.strings import path_quote
 
 # Fixed values.
@@ -51,7 +51,7 @@ def value_source(value: Column, value_json: Column) -> Column:
 
 def _json_string(value: Column) -> Column:
     v = variant(value)
-    return F.when(v.isNull(), value).otherwise(python_text(v))
+    return F.when(v.isNull(), value).otherwise(python_text(v, value))
 
 
 def _image(annotation_id: Column, value: Column, file: Column, base_url: str) -> Column:
@@ -78,7 +78,7 @@ def _image(annotation_id: Column, value: Column, file: Column, base_url: str) ->
 
 def _select(annotation_type: Column, value: Column) -> Column:
     v = variant(value)
-    once = python_text(v)
+    once = python_text(v, value)
     is_multi_text = (variant_type(v) == "STRING") & (annotation_type == MULTIPLE_CHOICE)
     s = variant_text(v)
     v2 = variant(s)
@@ -92,13 +92,13 @@ def _select(annotation_type: Column, value: Column) -> Column:
                                     F.lit(")"))))
     choices = F.array_join(F.concat(selected, F.coalesce(other, F.array().cast("array<string>"))),
                            ", ")
-    multi = (F.when(v2.isNull(), s).when(all_strings, choices).otherwise(python_text(v2)))
+    multi = (F.when(v2.isNull(), s).when(all_strings, choices).otherwise(python_text(v2, s)))
     return F.when(v.isNull(), value).when(is_multi_text, multi).otherwise(once)
 
 
 def _geojson(value: Column) -> Column:
     v = variant(value)
-    once = python_text(v)
+    once = python_text(v, value)
     v2 = variant(once)
     coords_t = _type_at(v2, "$.geometry.coordinates")
     lat_t, lng_t = _type_at(v2, "$.geometry.coordinates[0]"), _type_at(v2, "$.geometry.coordinates[1]")
@@ -111,8 +111,9 @@ def _geojson(value: Column) -> Column:
                 & (F.variant_get(v2, "$.geometry.type", "string") == "Point")
                 & coords_t.startswith("ARRAY") & (n_coords == 2)
                 & lat_t.rlike(_NUMBER) & lng_t.rlike(_NUMBER))
-    pair = F.concat(F.lit("("), F.variant_get(v2, "$.geometry.coordinates[0]", "string"), F.lit(", "),
-                    F.variant_get(v2, "$.geometry.coordinates[1]", "string"), F.lit(")"))
+    pair = F.concat(F.lit("("), python_number(F.get_json_object(once, "$.geometry.coordinates[0]")),
+                    F.lit(", "), python_number(F.get_json_object(once, "$.geometry.coordinates[1]")),
+                    F.lit(")"))
     named = (_type_at(v2, "$.properties").startswith("OBJECT")
              & (_type_at(v2, "$.properties.name") == "STRING"))
     point = F.when(named, F.concat(F.variant_get(v2, "$.properties.name", "string"), F.lit(" "), pair)
@@ -162,7 +163,7 @@ def with_answer(df, out: str, annotation_id: str, annotation_type: str, field_ty
     ft, at = F.col(field_type), F.col(annotation_type)
     v1 = variant(F.col(value))
     staged = df.withColumn("__v1", v1)
-    once = python_text(F.col("__v1"))
+    once = python_text(F.col("__v1"), F.col(value))
     needs_second = ft.isin("geojson") | ((ft == "select") & (at == MULTIPLE_CHOICE))
     staged = staged.withColumn("__once", F.when(F.col("__v1").isNotNull(), once)) \
         .withColumn("__v2", F.when(needs_second, variant(F.col("__once"))))
@@ -185,7 +186,7 @@ def _answer_from_variants(annotation_id, annotation_type, field_type, value, fil
     other = F.when(_type_at(v2, "$.other") == "STRING",
                    F.array(F.concat(F.lit("Other ("), F.variant_get(v2, "$.other", "string"), F.lit(")"))))
     choices = F.array_join(F.concat(selected, F.coalesce(other, F.array().cast("array<string>"))), ", ")
-    multi = F.when(v2.isNull(), once).when(all_strings, choices).otherwise(python_text(v2))
+    multi = F.when(v2.isNull(), once).when(all_strings, choices).otherwise(python_text(v2, once))
     select = (F.when(v.isNull(), value)
               .when((t == "STRING") & (annotation_type == MULTIPLE_CHOICE), multi)
               .otherwise(once))
@@ -200,8 +201,9 @@ def _answer_from_variants(annotation_id, annotation_type, field_type, value, fil
                 & (n_coords == 2)
                 & _type_at(v2, "$.geometry.coordinates[0]").rlike(_NUMBER)
                 & _type_at(v2, "$.geometry.coordinates[1]").rlike(_NUMBER))
-    pair = F.concat(F.lit("("), F.variant_get(v2, "$.geometry.coordinates[0]", "string"), F.lit(", "),
-                    F.variant_get(v2, "$.geometry.coordinates[1]", "string"), F.lit(")"))
+    pair = F.concat(F.lit("("), python_number(F.get_json_object(once, "$.geometry.coordinates[0]")),
+                    F.lit(", "), python_number(F.get_json_object(once, "$.geometry.coordinates[1]")),
+                    F.lit(")"))
     named = (_type_at(v2, "$.properties").startswith("OBJECT")
              & (_type_at(v2, "$.properties.name") == "STRING"))
     point = F.when(named, F.concat(F.variant_get(v2, "$.properties.name", "string"), F.lit(" "), pair)

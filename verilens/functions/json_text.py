@@ -40,14 +40,66 @@ def json_path(c: Column, path: str) -> Column:
     return F.get_json_object(c, path)
 
 
-def python_text(v: Column) -> Column:
+_JAVA_SCI = r"^(-?)(\d)(?:\.(\d+))?E(-?\d+)$"
+
+
+def _shortest_digits(c: Column) -> Column:
+    """The JVM's ``Double.toString`` (before Java 19) sometimes prints more
+    significant digits than needed.  When it printed 16 or more, the
+    shortest correctly rounded form that reads back as the same double is
+    searched (fewest digits first), which is what the shortest round-trip
+    repr is; it is written like Java's scientific form for the formatter
+    below.  Short outputs (the usual case) skip the search."""
+    mantissa = F.regexp_replace(c, "E.*$", "")
+    significant = F.length(F.regexp_replace(F.regexp_replace(mantissa, "[^0-9]", ""), "^0+", ""))
+    d = c.try_cast("double")
+    forms = [F.format_string(f"%.{p - 1}e", d) for p in range(1, 18)]
+    candidate = F.coalesce(*[F.when(f.try_cast("double") == d, f) for f in forms])
+    use = c.rlike(r"[.E]") & (significant >= 16)
+    java_like = F.concat(F.regexp_extract(candidate, r"^(-?\d(?:\.\d+)?)e", 1), F.lit("E"),
+                         F.regexp_extract(candidate, r"e([-+]\d+)$", 1).cast("int").cast("string"))
+    return F.when(use & candidate.isNotNull(), java_like).otherwise(c)
+
+
+def python_number(c: Column) -> Column:
+    """A JSON number's text as ``str(json.loads(...))`` prints it.
+
+    ``c`` comes from ``get_json_object``, which keeps integers as written and
+    prints other numbers as the shortest round-trip decimal, in scientific
+    form outside [1e-3, 1e7).  Python uses the same digits but switches to
+    scientific form outside [1e-4, 1e16) and writes ``1e-07`` for ``1.0E-7``;
+    only that form is rewritten.  Exact for |x| < 1e17 (checked on random
+    doubles against ``json``); above that a JVM older than 19 may print a
+    different last digit."""
+    c = _shortest_digits(c)
+
+    def g(i):
+        return F.regexp_extract(c, _JAVA_SCI, i)
+    sign, d0, rest, e = g(1), g(2), F.rtrim(g(3), F.lit("0")), g(4).cast("int")
+    digits = F.concat(d0, rest)
+    int_part = F.substring(F.rpad(digits, F.greatest(e + 1, F.lit(1)), "0"), 1, e + 1)
+    frac = F.when(F.length(digits) > e + 1, digits.substr(e + 2, F.length(digits))).otherwise(F.lit("0"))
+    fixed = F.when(e >= 0, F.concat(sign, int_part, F.lit("."), frac)).otherwise(
+        F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits))
+    sci = F.concat(sign, d0, F.when(rest != "", F.concat(F.lit("."), rest)).otherwise(F.lit("")),
+                   F.lit("e"), F.when(e < 0, F.lit("-")).otherwise(F.lit("+")),
+                   F.when(F.abs(e) < 10, F.concat(F.lit("0"), F.abs(e).cast("string")))
+                   .otherwise(F.abs(e).cast("string")))
+    return F.when(~c.rlike(_JAVA_SCI), c).when((e >= -4) & (e < 16), fixed).otherwise(sci)
+
+
+def python_text(v: Column, text: Column | None = None) -> Column:
     """How a decoded JSON value prints in Python (``str(json.loads(x))``) for
-    scalars: strings as is, ``True``/``False``/``None``, numbers as text.
-    Objects and arrays print as minified JSON (documented deviation)."""
+    scalars: strings as is, ``True``/``False``/``None``, numbers as Python
+    prints them (when the JSON ``text`` is given).  Objects and arrays print
+    as minified JSON (documented deviation)."""
     t = variant_type(v)
+    number = (python_number(F.get_json_object(text, "$")) if text is not None
+              else variant_text(v))
     return (F.when(t == "BOOLEAN", F.when(F.variant_get(v, "$", "boolean"), F.lit("True"))
                    .otherwise(F.lit("False")))
             .when(t == "VOID", F.lit("None"))
+            .when(t.rlike(r"^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL.*|DOUBLE|FLOAT)$"), number)
             .otherwise(variant_text(v)))
 
 
