@@ -43,36 +43,42 @@ def json_path(c: Column, path: str) -> Column:
 _JAVA_SCI = r"^(-?)(\d)(?:\.(\d+))?E(-?\d+)$"
 
 
-def _shortest_digits(c: Column) -> Column:
+def _bind(c: Column, body) -> Column:
+    """``body(x)`` with ``x`` bound once to ``c`` (a lambda variable), so a
+    value used many times in ``body`` is neither copied into the expression
+    tree nor computed again."""
+    return F.transform(F.array(c), body).getItem(0)
+
+
+def _shortest_digits(x: Column) -> Column:
     """The JVM's ``Double.toString`` (before Java 19) sometimes prints more
     significant digits than needed.  When it printed 16 or more, the
     shortest correctly rounded form that reads back as the same double is
     searched (fewest digits first), which is what the shortest round-trip
     repr is; it is written like Java's scientific form for the formatter
     below.  Short outputs (the usual case) skip the search."""
-    mantissa = F.regexp_replace(c, "E.*$", "")
+    mantissa = F.regexp_replace(x, "E.*$", "")
     significant = F.length(F.regexp_replace(F.regexp_replace(mantissa, "[^0-9]", ""), "^0+", ""))
-    d = c.try_cast("double")
-    forms = [F.format_string(f"%.{p - 1}e", d) for p in range(1, 18)]
-    candidate = F.coalesce(*[F.when(f.try_cast("double") == d, f) for f in forms])
-    use = c.rlike(r"[.E]") & (significant >= 16)
-    java_like = F.concat(F.regexp_extract(candidate, r"^(-?\d(?:\.\d+)?)e", 1), F.lit("E"),
-                         F.regexp_extract(candidate, r"e([-+]\d+)$", 1).cast("int").cast("string"))
-    return F.when(use & candidate.isNotNull(), java_like).otherwise(c)
+    # also subnormals (exponent -300 and below), whose digits the JVM pads
+    needs_search = x.rlike(r"[.E]") & ((significant >= 16) | x.rlike(r"E-3\d\d$"))
 
+    def search(d: Column) -> Column:
+        forms = [F.format_string(f"%.{p - 1}e", d) for p in range(1, 18)]
+        return F.coalesce(*[F.when(f.try_cast("double") == d, f) for f in forms])
 
-def python_number(c: Column) -> Column:
-    """A JSON number's text as ``str(json.loads(...))`` prints it.
+    def java_like(candidate: Column) -> Column:
+        return F.when(candidate.isNull(), x).otherwise(F.concat(
+            F.regexp_extract(candidate, r"^(-?\d(?:\.\d+)?)e", 1), F.lit("E"),
+            F.regexp_extract(candidate, r"e([-+]\d+)$", 1).cast("int").cast("string")))
 
-    ``c`` comes from ``get_json_object``, which keeps integers as written and
-    prints other numbers as the shortest round-trip decimal, in scientific
-    form outside [1e-3, 1e7).  Python uses the same digits but switches to
-    scientific form outside [1e-4, 1e16) and writes ``1e-07`` for ``1.0E-7``;
-    only that form is rewritten.  Exact for |x| < 1e17 (checked on random
-    doubles against ``json``); above that a JVM older than 19 may print a
-    different last digit."""
-    c = _shortest_digits(c)
+    found = _bind(x.try_cast("double"), lambda d: _bind(search(d), java_like))
+    return F.when(needs_search, found).otherwise(x)
+
+
+_JAVA_SCI = r"^(-?)(\d)(?:\.(\d+))?E(-?\d+)$"
 
+
+def _python_layout(c: Column) -> Column:
     def g(i):
         return F.regexp_extract(c, _JAVA_SCI, i)
     sign, d0, rest, e = g(1), g(2), F.rtrim(g(3), F.lit("0")), g(4).cast("int")
@@ -88,6 +94,19 @@ def python_number(c: Column) -> Column:
     return F.when(~c.rlike(_JAVA_SCI), c).when((e >= -4) & (e < 16), fixed).otherwise(sci)
 
 
+def python_number(c: Column) -> Column:
+    """A JSON number's text as ``str(json.loads(...))`` prints it.
+
+    ``c`` comes from ``get_json_object``, which keeps integers as written and
+    prints other numbers as the shortest round-trip decimal, in scientific
+    form outside [1e-3, 1e7).  Python uses the same digits but switches to
+    scientific form outside [1e-4, 1e16) and writes ``1e-07`` for ``1.0E-7``;
+    only that form is rewritten.  Exact for |x| < 1e17 (checked on random
+    doubles against ``json``); above that a JVM older than 19 may print a
+    different last digit."""
+    return _bind(c, lambda x: _bind(_shortest_digits(x), _python_layout))
+
+
 def python_text(v: Column, text: Column | None = None) -> Column:
     """How a decoded JSON value prints in Python (``str(json.loads(x))``) for
     scalars: strings as is, ``True``/``False``/``None``, numbers as Python
