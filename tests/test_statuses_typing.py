@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verilens.operators.statuses import label_statuses, parse_status_vocabulary, status_vocabulary
@@ -85,4 +84,4 @@ def test_typed(spark):
 def test_typed_empty(spark):
     out = typed_empty(spark, ["item_id", "created_at", "x [integer]"])
     assert out.count() == 0 and [f.name for f in out.schema] == ["item_id", "created_at", "x"]
-    assert F is not None
+    assert [type(f.dataType) for f in out.schema] == [T.LongType, T.TimestampNTZType, T.LongType]
