@@ -17,3 +17,11 @@ def test_ordered(spark):
     ws = derive_workspace(spark, SF_SMALL)
     ids = [r.item_id for r in I.items(ws).select("item_id").collect()]
     assert ids == sorted(ids, reverse=True)
+
+
+def test_tasks_join_forms_agree(spark):
+    from verilens.plans import tasks as T
+    ws = derive_workspace(spark, SF_SMALL)
+    a = T.tasks(ws, ordered=False)
+    b = T.tasks(ws, ordered=False, skew_safe=False)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
