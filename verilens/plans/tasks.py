@@ -80,14 +80,18 @@ def task_rows(ws: Workspace, asset_base_url: str = DEFAULT_ASSET_BASE_URL,
     """One row per task x response field.  ``skew_safe`` joins the answers as
     inner join + anti join, so a task with a very large share of the
     responses can be split by adaptive execution; it evaluates the task side
-    twice (about 2 s more at sf0.1 locally).  ``skew_safe=False`` uses one
+    twice (labels are read once, separately).  ``skew_safe=False`` uses one
     left join."""
     a = ws["annotations"]
-    tasks = a.filter((a.annotated_type == "ProjectMedia") & (a.annotation_type == "task")).select(
+    base = a.filter((a.annotated_type == "ProjectMedia") & (a.annotation_type == "task")).select(
         F.col("id").alias("task_id"), F.col("annotated_id").alias("item_id"),
         F.col("created_at").alias("task_created_at"),
         task_or_metadata(F.col("data")).alias("kind"), "data")
-    tasks = with_task_label(tasks, "data", "label").drop("data")
+    # labels once per task, as their own relation: the task side of the
+    # join below may be evaluated twice, the YAML reading is not
+    labels = with_task_label(base.select(F.col("task_id").alias("l_task_id"), "data"),
+                             "data", "label").drop("data")
+    tasks = base.drop("data")
     notes = first_task_comments(ws).select(F.col("task_id").alias("n_task_id"),
                                            F.col("comment").alias("first_note"))
     answers = answered_responses(ws, asset_base_url)
@@ -95,6 +99,7 @@ def task_rows(ws: Workspace, asset_base_url: str = DEFAULT_ASSET_BASE_URL,
         df = left_join_skew_safe(tasks, answers, "task_id", "r_task_id")
     else:
         df = tasks.join(answers, tasks.task_id == answers.r_task_id, "left")
+    df = df.join(labels, df.task_id == labels.l_task_id, "left")
     df = df.join(notes, df.task_id == notes.n_task_id, "left")
     return df.select(F.col("task_id"), F.col("item_id"), F.col("task_created_at").alias("created_at"),
                      F.col("kind").alias("task_or_metadata [dictionarytext]"), F.col("label"),
