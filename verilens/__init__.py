@@ -8,7 +8,6 @@ DataFrame/SQL operators only:
 * ``functions``  - Column -> Column helpers (JSON, YAML lines, answers, casts)
 * ``operators``  - table operators (top-1 per key, ordered string agg, typing)
 * ``plans``      - the reports and every intermediate relation they use
-* ``streaming``  - run reports over a directory of workspace snapshots
 """
 
 __version__ = "0.1.0"

@@ -8,8 +8,15 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+CHECKPOINT_DIR = "spark.checkpoint.dir"
+
+
+class NoSharedFolder(RuntimeError):
+    """The session names no folder that driver and executors share."""
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -28,22 +35,29 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only if unset.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared file system folder and
-    is respected as is; a local temporary folder is only used when nothing was
-    configured (tests, local runs).
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="verilens-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``, without a trailing slash.
+
+    A cluster must name it: without the setting ``NoSharedFolder`` is raised,
+    because a folder made here would exist on one machine only.  In local mode
+    (one JVM, as in tests) a scratch folder is made once per session."""
+    current = spark.conf.get(CHECKPOINT_DIR, None)
+    if not current:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise NoSharedFolder(f"set {CHECKPOINT_DIR} to a folder shared by driver and executors")
+        current = tempfile.mkdtemp(prefix="verilens-shared-")
+        spark.conf.set(CHECKPOINT_DIR, current)
+    return current.rstrip("/")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared folder and return it read back.
+
+    This cuts the lineage in a form that survives lost executors."""
+    path = f"{shared_dir(df.sparkSession)}/verilens/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

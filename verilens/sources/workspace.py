@@ -1,7 +1,7 @@
 """Workspace sources and the report sink.
 
 A workspace is eleven tables; a snapshot is one folder of Parquet tables
-(``<dir>/<table>/`` or ``<dir>/<table>.parquet``).  ``load_workspace`` reads
+(``<dir>/<table>``, or with a suffix).  ``load_workspace`` reads
 them with the declared schemas (no inference, so column pruning and filter
 pushdown reach the scan), ``validate_workspace`` fails early when a table or
 a column the reports need is missing, ``write_report`` writes a typed report
@@ -11,27 +11,21 @@ cuts the lineage of whatever produced it.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verilens.schemas import WORKSPACE_SCHEMAS
-from verilens.session import ensure_checkpoint_dir
+from verilens.session import shared_dir
 
 
-def _table_path(root: str, name: str) -> str:
-    root = root.rstrip("/")
-    single = f"{root}/{name}.parquet"
-    if "://" not in root and os.path.exists(single):
-        return single
-    return f"{root}/{name}"
+def load_workspace(spark: SparkSession, root: str, suffix: str = "") -> dict[str, DataFrame]:
+    """Read a workspace snapshot written as Parquet tables.
 
-
-def load_workspace(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Read a workspace snapshot written as Parquet tables."""
-    return {name: spark.read.schema(schema).parquet(_table_path(root, name))
+    ``suffix`` follows each table's name (``".parquet"`` for files named so);
+    the store isn't probed, so any path that Spark reads will do."""
+    return {name: spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{name}{suffix}")
             for name, schema in WORKSPACE_SCHEMAS.items()}
 
 
@@ -77,10 +71,9 @@ def write_report(spark: SparkSession, df: DataFrame, name: str, path: str | None
     """Write a typed report as Parquet and return it read back.
 
     Without ``path`` the report goes under the session's shared checkpoint
-    folder (``spark.checkpoint.dir``), never a machine-local one on a cluster.
+    folder (``spark.checkpoint.dir``); a cluster without one is an error.
     Column metadata (display formats) travels in the Parquet schema."""
     if path is None:
-        base = ensure_checkpoint_dir(spark).rstrip("/")
-        path = f"{base}/reports/{name}-{uuid.uuid4().hex}"
+        path = f"{shared_dir(spark)}/reports/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
