@@ -183,11 +183,7 @@ class Pseudonyms:
         if kind == "date":
             return self._date(text)
         if kind == "ip":
-            parts = [int(p) for p in text.split(".")]
-            if max(parts) > 255:
-                return None
-            x = self._number("ip", 1 << 32, int.from_bytes(bytes(parts), "big"))
-            return ".".join(map(str, x.to_bytes(4, "big")))
+            return self._address(text.split("."))
         if kind == "ssn":
             return _refilled(text, self._digits("ssn", digits, _ssn)) if _ssn(digits) else None
         if kind == "card":
@@ -201,6 +197,21 @@ class Pseudonyms:
             return None
         return _refilled(text, digits[:skip] + self._digits("phone", digits[skip:]))
 
+    def _address(self, parts: list[str]) -> str | None:
+        """An address with octets of as many digits each."""
+        if any(int(p) > 255 or p != str(int(p)) for p in parts):
+            return None
+        ranges = [((0, 10), (10, 90), (100, 156))[len(p) - 1] for p in parts]  # first octet of that length, and their number
+        size, x = 1, 0
+        for p, (first, n) in zip(parts, ranges, strict=True):
+            size, x = size * n, x * n + int(p) - first
+        x = self._number("ip/" + "".join(str(len(p)) for p in parts), size, x)
+        out = []
+        for first, n in reversed(ranges):
+            x, k = divmod(x, n)
+            out.append(str(first + k))
+        return ".".join(reversed(out))
+
     def _date(self, text: str) -> str | None:
         fields = re.split(r"[-./]", text)
         year_first = len(fields[0]) == 4

@@ -85,7 +85,7 @@ ORACLE: dict[str, str] = {"op10_embeddings": """
 WITH RECURSIVE valid AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0),
 links AS (
   SELECT a.vec_id AS x, b.vec_id AS y FROM valid a JOIN valid b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
   WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
