@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that one step handles at once; a longer single text is a step of its own.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 #: The bytes of ASCII white space.
 SPACE = np.zeros(256, bool)
@@ -68,6 +68,7 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[pa.Array]:
 def by_slice(texts: pa.Array, work: Callable[[pa.Array], pa.Array], kind: pa.DataType) -> pa.Array:
     """``work`` on each slice of the texts (nulls as empty), as one array of ``kind``."""
     parts = [work(x) for x in slices(as_strings(texts))]
+    pa.default_memory_pool().release_unused()
     return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
 
