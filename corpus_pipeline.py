@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from verilens.llm import pseudonyms, simhash, templates, toxicity
-from verilens.llm.queries import bpe_digests, table
+from verilens.llm.queries import bounded, bpe_digests, table
 from verilens.session import stored
 
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
@@ -54,8 +54,8 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("toxicity", not_toxic), ("simhash_near_dedup", one_of_each_group), ("decontamination", no_benchmark_items),
-    ("pii", private_data_replaced), ("bpe", token_ids)]
+    ("toxicity", bounded(not_toxic)), ("simhash_near_dedup", bounded(one_of_each_group)), ("decontamination", bounded(no_benchmark_items)),
+    ("pii", bounded(private_data_replaced)), ("bpe", bounded(token_ids))]
 
 #: SQL can't express a factorization machine, Feistel networks or BPE; see tests/llm.
 ORACLE_SQL = None

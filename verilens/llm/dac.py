@@ -196,9 +196,12 @@ _SCHEMA = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("n_ids", pa.
                      ("doc_offsets", pa.list_(pa.int64())), ("levels", _LIST), ("bitmaps", _LIST), ("ranks", _LIST)])
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
+def read(spark: SparkSession, folder: str, *values: Column) -> DataFrame:
     """One row for each document: doc_id, start (ids of all documents before it),
-    n_tokens and ids (little-endian unsigned 32-bit integers)."""
+    n_tokens and ids (little-endian unsigned 32-bit integers).
+
+    ``values``: what to return of ``ids`` instead; it is computed before the
+    join with the starts, so that the ids themselves aren't shuffled."""
     blocks = spark.read.schema(BLOCK).parquet(folder)
     sizes = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"))  # one row for each shard
     before = sizes.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("before"))
@@ -217,7 +220,8 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                     binary(ids.astype("<u4").view(np.uint8), off * 4)], names=["shard", "block", "doc_id", "at", "n_tokens", "ids"])
 
     rows = blocks.mapInArrow(documents, "shard int, block int, doc_id long, at long, n_tokens long, ids binary")
-    return rows.join(starts, ["shard", "block"]).select("doc_id", (F.col("first") + F.col("at")).alias("start"), "n_tokens", "ids")
+    rows = rows.select("shard", "block", "doc_id", "at", "n_tokens", *(values or ["ids"]))
+    return rows.join(starts, ["shard", "block"]).select("doc_id", (F.col("first") + F.col("at")).alias("start"), "n_tokens", *rows.columns[5:])
 
 
 def new_folder(spark: SparkSession) -> str:

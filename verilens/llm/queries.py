@@ -4,6 +4,7 @@ production parameters, to its whole table."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,24 @@ BYTE_BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Documents of one Arrow batch at most: what a task holds in Python and in its buffers follows from it.
+BATCH_DOCS = 1_000
+
+
+def bounded(work: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``work(spark, ...)`` in a session whose Arrow batches hold at most ``BATCH_DOCS`` rows."""
+
+    @wraps(work)
+    def run(spark: SparkSession, *args) -> DataFrame:
+        name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        most = int(spark.conf.get(name))
+        if not 0 < most <= BATCH_DOCS:
+            spark.conf.set(name, BATCH_DOCS)
+        return work(spark, *args)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -38,7 +57,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = dac.new_folder(spark)
     dac.write(table(spark, sf_dir, "documents"), folder, WORD_BPE)
-    return dac.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return dac.read(spark, folder, F.crc32("ids").alias("ids_crc32"))
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +96,7 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op2_pii, op3_toxicity, op4_token_ids, op5_language, op6_quality, op7_simhash,
+    f.__name__: bounded(f) for f in (op1_decontamination, op2_pii, op3_toxicity, op4_token_ids, op5_language, op6_quality, op7_simhash,
                             op8_token_counts, op9_bpe, op10_embeddings)}
 
 #: Exact where the index found every link, which it does on the small table that this runs on.
