@@ -38,7 +38,7 @@ from verilens.llm.textbatch import as_strings, binary, by_slice, flat, segment_s
 _S = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PRE_TOKENS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_S}\p{{L}}\p{{N}}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 #: Pairs that the compatibility table holds before it starts anew.
-TABLE_PAIRS = 2_000_000
+TABLE_PAIRS = 200_000
 _NEVER = 1 << 60
 
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from verilens.llm.textbatch import ALPHA, SPACE, as_strings, flat, named, segment_sum, spread
 
 #: Pieces that one worker's cache holds at most; more are encoded again in each batch.
-CACHED_PIECES = 300_000
+CACHED_PIECES = 200_000
 #: Longer pieces aren't kept.
 CACHED_BYTES = 64
 
