@@ -36,7 +36,7 @@ from verilens.session import stored
 BUCKET_BITS = 20
 PREFIXES = (3, 4, 5, 6)
 MOST_TERMS = 768
-LEAST_DOCS = 5
+LEAST_DOCS = 3
 #: Standard errors by which a term's document frequency must differ between the classes.
 LEAST_Z = 4.0
 FACTORS, ROUNDS, RATE, L2 = 4, 250, 0.05, 1e-4
