@@ -5,7 +5,7 @@ import sys
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
-from oracle_check import digest, duck, first_diff  # noqa: E402,F401
+from compare_oracle import digest, duck, first_diff  # noqa: E402,F401
 
 
 def compare(spark_df, con, sql):

@@ -1,6 +1,5 @@
 """Hand-written edge rows for the semantic decisions (FIXTURES.md section E)."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from verilens.functions.strings import prefix_int, tag_id
@@ -72,14 +71,13 @@ def test_two_status_fields_deterministic(spark):
     assert facts.status == "b"
 
 
-@pytest.mark.parametrize("folded", [True, False])
-def test_items_edge_workspace(spark, folded):
+def test_items_edge_workspace(spark):
     pm = [(7, "2020-01-02 03:04:05", 3, 1, 1, 99, 0)]
     ws = _ws(spark, project_medias=pm, medias=[(1, "Claim", "u")],
              teams=[(1, "t", "statuses: none\n")], users=[(3, "smooch")],
              annotations=[(1, "verification_status", "ProjectMedia", 7, "User", 3, None, None, "x")],
              dynamic_annotation_fields=[(10, 1, "verification_status", "verification_status_status",
                                          "select", '"verified"', None)])
-    row = I.items(ws, folded=folded).first()
+    row = I.items(ws).first()
     assert (row.item_id, row.item_status, row.item_status_by, row.media_type, row.folder) == \
         (7, "verified", None, "Text", None)

@@ -1,6 +1,6 @@
 """Registered queries against their DuckDB oracle on the smallest data.
 
-The full set runs with ``python tools/oracle_check.py <sf_dir>``; here the
+The full set runs with ``python tools/compare_oracle.py <sf_dir>``; here the
 reports and a cross-section of operators run at sf0.001 to keep the suite
 quick.
 """

@@ -5,28 +5,42 @@ import datetime as dt
 import pytest
 from pyspark.sql import types as T
 
-from verilens.operators.statuses import label_statuses, parse_status_vocabulary, status_vocabulary
+from verilens.operators.statuses import label_statuses, status_vocabulary, unreadable_statuses
 from verilens.operators.typing import output_column, typed, typed_empty
 
 SYMBOLS = """--- !ruby/hash:ActiveSupport::HashWithIndifferentAccess
+:rules: []
 :media_verification_statuses: !ruby/hash:ActiveSupport::HashWithIndifferentAccess
+  :label: Status
   :statuses:
-  - :id: undetermined
-    :label: Unstarted
   - :id: verified
     :label: Verified
+    :locales:
+      :en:
+        :label: nested, not this one
+  - :label: 'It''s late'
+    :id: late
+:after: true
 """
 STRINGS = """---
 media_verification_statuses:
+  default: false_claim
   statuses:
-  - id: false_claim
-    label: 'False'
+    - id: false_claim
+      label: 'False'
+    - id: "in progress"
+      label: "In \\"progress\\""
+
+    - id: odd
+      label: [no, text]
+    - id: false_claim
+      label: Really false # the later one wins
 other: !ruby/object:Set
   hash:
     ? a
     : true
 """
-PARAMS = """--- !ruby/hash-with-ivars:ActionController::Parameters
+NESTED = """--- !ruby/hash-with-ivars:ActionController::Parameters
 elements:
   media_verification_statuses:
     statuses:
@@ -35,19 +49,17 @@ elements:
 ivars:
   :@permitted: false
 """
+WANT = {1: [("late", "It's late"), ("verified", "Verified")], 2: [("false_claim", "Really false"), ("in progress", 'In "progress"')], 3: [("a", "A")]}
 
 
-@pytest.mark.parametrize("text,want", [
-    (SYMBOLS, [("undetermined", "Unstarted"), ("verified", "Verified")]),
-    (STRINGS, [("false_claim", "False")]),
-    (PARAMS, [("a", "A")]),
-    ("other: 1\n", []),
-    ("media_verification_statuses:\n  nothing: 1\n", None),
-    ("{ not yaml", None),
-])
-def test_parse(text, want):
-    got = parse_status_vocabulary(text)
-    assert (None if got is None else [(d["status_id"], d["status_label"]) for d in got]) == want
+def test_vocabularies_of_several_teams(spark):
+    texts = [(1, SYMBOLS), (2, STRINGS), (3, NESTED), (4, "other: 1\n"), (5, "media_verification_statuses:\n  nothing: 1\n"), (6, "{ not yaml"), (7, None), (8, "")]
+    teams = spark.createDataFrame(texts, "id long, settings string")
+    got = {}
+    for r in status_vocabulary(teams).collect():
+        got.setdefault(r.team_id, []).append((r.status_id, r.status_label))
+    assert {k: sorted(v) for k, v in got.items()} == WANT
+    assert [(r.team_id, r.pos) for r in unreadable_statuses(teams).collect()] == [(2, 3)]
 
 
 def test_label_lookup(spark):
@@ -56,7 +68,7 @@ def test_label_lookup(spark):
                                   (3, "verified")], "team long, status string")
     got = sorted(map(tuple, label_statuses(rows, status_vocabulary(teams), "team", "status").collect()),
                  key=str)
-    assert got == sorted([(1, "Verified"), (1, "unknown"), (2, "False"), (2, None), (3, "verified")],
+    assert got == sorted([(1, "Verified"), (1, "unknown"), (2, "Really false"), (2, None), (3, "verified")],
                          key=str)
 
 

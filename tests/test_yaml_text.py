@@ -8,13 +8,12 @@ from verilens.functions.yaml_text import comment_text, task_label, with_comment_
 H = "--- !ruby/hash:ActiveSupport::HashWithIndifferentAccess\n"
 
 LABELS = [
-    ("label2: value2", None),
-    (H + "label: BOOM Link\ntype: free_text\noptions: []\ndescription:\nrequired: false\n"
-         "json_schema: '{\"type\":\"string\",\"pattern\":\"^https?://[^ ]+\\.[^ ]+\"}'\n"
-         "slug: boom_link\n", "BOOM Link"),
-    (H + 'label: ","\ntype: free_text\nrequired: false\ndescription:\noptions: []\nslug: \'\'\n', ","),
-    (H + "options:\n- { name: 'foo', value: 'bar' }\n- name: foo\n  value: bar\n  label: foobar\n"
-         "  stuff: [1, 2, 3]\n  more_nesting:\n    label: foobarbaz\nlabel: BOOM Link\n", "BOOM Link"),
+    ("title: no label here\nlabels: [x]\n", None),
+    (H + "slug: where\nlabel: Where was it filmed?\ntype: geolocation\n", "Where was it filmed?"),
+    (H + "label: \"a, b\"\nrequired: true\n", "a, b"),
+    (H + "options:\n- label: inner\n  value: 1\nextra:\n  label: deeper\nlabel: Outer\n", "Outer"),
+    ("label: see https://example.org/a:b#c\n", "see https://example.org/a:b#c"),
+    ("label: 1:30:00\n", "1:30:00"),
     # edges: quoting, typed scalars stay raw text, block scalar, comment, empty
     ("label: 'it''s'\n", "it's"),
     ('label: "tab\\there"\n', "tab\there"),
@@ -27,6 +26,9 @@ LABELS = [
     ("label: [a, b]\nlabel: later\n", "later"),
     ("not: [valid\n", None),
     ("label: before\nbad: [x\nlabel: after\n", "before"),
+    ("label: " + "Q " * 60_000 + "end\n", "Q " * 60_000 + "end"),
+    ("label: '" + "''q" * 50_000 + "'\n", "'q" * 50_000),
+    ('label: "' + "z" * 100_000 + '"\n', "z" * 100_000),
     (None, None),
 ]
 
@@ -35,6 +37,12 @@ COMMENTS = [
     ("text: 'quoted ''x'''\n", "quoted 'x'"),
     ("text: |\n  block\n  text\n", "block\ntext\n"),
     ("text: 12\n", "12"),
+    ("text: "+ "ab c:d " * 20_000 + "end\n", "ab c:d " * 20_000 + "end"),
+    ("text: '" + "it''s " * 20_000 + "'\n", "it's " * 20_000),
+    ('text: "' + "x y " * 30_000 + '"\n', "x y " * 30_000),
+    ("text: " + "1:" * 60_000 + "x\n", "1:" * 60_000 + "x"),
+    ("note: " + "n" * 100_000 + "\ntext: short\n", "short"),
+    ("text: |\n  " + "b" * 100_000 + "\n", "b" * 100_000 + "\n"),
     ("text: true\n", "1"),
     ("text: ~\n", None),
     ("other: 1\n", None),

@@ -1,6 +1,6 @@
 """Human-readable task answers from annotation field values (native, no UDF).
 
-``format_answer`` dispatches on ``field_type``:
+``with_answer`` dispatches on ``field_type``:
 
 * text, language, json, image_path, id: the value is a JSON-encoded string;
   decode once (not JSON: the raw value);
@@ -49,11 +49,6 @@ def value_source(value: Column, value_json: Column) -> Column:
     return F.when(value == "", value_json).otherwise(value)
 
 
-def _json_string(value: Column) -> Column:
-    v = variant(value)
-    return F.when(v.isNull(), value).otherwise(python_text(v, value))
-
-
 def _image(annotation_id: Column, value: Column, file: Column, base_url: str) -> Column:
     v = variant(value)
     t = variant_type(v)
@@ -76,51 +71,6 @@ def _image(annotation_id: Column, value: Column, file: Column, base_url: str) ->
             .otherwise(value))
 
 
-def _select(annotation_type: Column, value: Column) -> Column:
-    v = variant(value)
-    once = python_text(v, value)
-    is_multi_text = (variant_type(v) == "STRING") & (annotation_type == MULTIPLE_CHOICE)
-    s = variant_text(v)
-    v2 = variant(s)
-    sel_t = _type_at(v2, "$.selected")
-    selected = F.variant_get(v2, "$.selected", "array<string>")
-    all_strings = (variant_type(v2).startswith("OBJECT")
-                   & ((sel_t == "ARRAY<STRING>") | (sel_t.startswith("ARRAY") & (F.size(selected) == 0)))
-                   & ~F.exists(selected, lambda x: x.isNull()))
-    other = F.when(_type_at(v2, "$.other") == "STRING",
-                   F.array(F.concat(F.lit("Other ("), F.variant_get(v2, "$.other", "string"),
-                                    F.lit(")"))))
-    choices = F.array_join(F.concat(selected, F.coalesce(other, F.array().cast("array<string>"))),
-                           ", ")
-    multi = (F.when(v2.isNull(), s).when(all_strings, choices).otherwise(python_text(v2, s)))
-    return F.when(v.isNull(), value).when(is_multi_text, multi).otherwise(once)
-
-
-def _geojson(value: Column) -> Column:
-    v = variant(value)
-    once = python_text(v, value)
-    v2 = variant(once)
-    coords_t = _type_at(v2, "$.geometry.coordinates")
-    lat_t, lng_t = _type_at(v2, "$.geometry.coordinates[0]"), _type_at(v2, "$.geometry.coordinates[1]")
-    n_coords = F.size(F.variant_get(v2, "$.geometry.coordinates", "array<variant>"))
-    is_point = (variant_type(v2).startswith("OBJECT")
-                & (_type_at(v2, "$.type") == "STRING")
-                & (F.variant_get(v2, "$.type", "string") == "Feature")
-                & _type_at(v2, "$.geometry").startswith("OBJECT")
-                & (_type_at(v2, "$.geometry.type") == "STRING")
-                & (F.variant_get(v2, "$.geometry.type", "string") == "Point")
-                & coords_t.startswith("ARRAY") & (n_coords == 2)
-                & lat_t.rlike(_NUMBER) & lng_t.rlike(_NUMBER))
-    pair = F.concat(F.lit("("), python_number(F.get_json_object(once, "$.geometry.coordinates[0]")),
-                    F.lit(", "), python_number(F.get_json_object(once, "$.geometry.coordinates[1]")),
-                    F.lit(")"))
-    named = (_type_at(v2, "$.properties").startswith("OBJECT")
-             & (_type_at(v2, "$.properties.name") == "STRING"))
-    point = F.when(named, F.concat(F.variant_get(v2, "$.properties.name", "string"), F.lit(" "), pair)
-                   ).otherwise(pair)
-    return F.when(v.isNull(), value).when(is_point, point).otherwise(once)
-
-
 def _datetime(value: Column) -> Column:
     def g(i: int) -> Column:
         return F.regexp_extract(value, DATETIME_PATTERN, i)
@@ -138,25 +88,12 @@ def _datetime(value: Column) -> Column:
             .otherwise(value))
 
 
-def format_answer(annotation_id: Column, annotation_type: Column, field_type: Column,
-                  value: Column, annotation_file: Column,
-                  asset_base_url: str = DEFAULT_ASSET_BASE_URL) -> Column:
-    return (F.when(value.isNull(), F.lit(None).cast("string"))
-            .when(field_type.isin(JSON_STRING_FIELD_TYPES), _json_string(value))
-            .when(field_type == "image", _image(annotation_id, value, annotation_file, asset_base_url))
-            .when(field_type == "select", _select(annotation_type, value))
-            .when(field_type == "geojson", _geojson(value))
-            .when(field_type == "datetime", _datetime(value))
-            .otherwise(value))
-
-
 def with_answer(df, out: str, annotation_id: str, annotation_type: str, field_type: str,
                 value: str, annotation_file: str,
                 asset_base_url: str = DEFAULT_ASSET_BASE_URL):
-    """DataFrame form of ``format_answer`` that parses each value's JSON once.
+    """``df`` with the formatted answer; parses each value's JSON once.
 
-    The Column form re-parses inside every branch that needs the document;
-    here the first projection parses the value (and, for the double-encoded
+    The first projection parses the value (and, for the double-encoded
     field types, the once-decoded text) into variant columns, and the answer
     reads those.  Spark keeps the parse in its own projection because the
     result is used several times."""
@@ -179,7 +116,7 @@ def _answer_from_variants(annotation_id, annotation_type, field_type, value, fil
     json_string = F.when(v.isNull(), value).otherwise(once)
     # multiple choice
     sel_t = _type_at(v2, "$.selected")
-    selected = F.variant_get(v2, "$.selected", "array<string>")
+    selected = F.try_variant_get(v2, "$.selected", "array<string>")
     all_strings = (variant_type(v2).startswith("OBJECT")
                    & ((sel_t == "ARRAY<STRING>") | (sel_t.startswith("ARRAY") & (F.size(selected) == 0)))
                    & ~F.exists(selected, lambda x: x.isNull()))
@@ -191,8 +128,11 @@ def _answer_from_variants(annotation_id, annotation_type, field_type, value, fil
               .when((t == "STRING") & (annotation_type == MULTIPLE_CHOICE), multi)
               .otherwise(once))
     # geojson
-    n_coords = F.size(F.variant_get(v2, "$.geometry.coordinates", "array<variant>"))
-    is_point = (variant_type(v2).startswith("OBJECT")
+    # a point only inside a JSON string; other JSON prints as it was decoded
+    coordinates = F.when(_type_at(v2, "$.geometry.coordinates").startswith("ARRAY"),
+                         F.try_variant_get(v2, "$.geometry.coordinates", "array<variant>"))
+    n_coords = F.coalesce(F.size(coordinates), F.lit(-1))
+    is_point = ((t == "STRING") & variant_type(v2).startswith("OBJECT")
                 & (F.variant_get(v2, "$.type", "string") == "Feature")
                 & (_type_at(v2, "$.type") == "STRING")
                 & _type_at(v2, "$.geometry").startswith("OBJECT")

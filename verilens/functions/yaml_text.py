@@ -16,12 +16,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A plain scalar the regex may take verbatim: no leading indicator character,
-# no ': ' or ' #' inside, no trailing blank.
-_PLAIN = r"[^\s\-?:,\[\]{}#&*!|>'\"%@`](?:[^:#\n]|:(?![ ]|$)|(?<! )#)*"
+# First character of a plain scalar: no indicator.
+_PLAIN_START = r"^[^\s\-?:,\[\]{}#&*!|>'\"%@`]"
 # YAML 1.1 plain scalars that a loader would turn into non-strings.
 _TYPED = (r"(?i)^(?:~|null|y|yes|n|no|true|false|on|off|[-+]?(?:0|[1-9][0-9_]*)|"
-          r"[-+]?0[0-7_]+|[-+]?0x[0-9a-f_]+|[-+]?0b[01_]+|[-+]?[0-9][0-9_]*(?::[0-5]?[0-9])+|"
+          r"[-+]?0[0-7_]+|[-+]?0x[0-9a-f_]+|[-+]?0b[01_]+|[-+]?[0-9][0-9_:]*|"
           r"[-+]?(?:[0-9][0-9_]*)?\.[0-9_]*(?:e[-+][0-9]+)?|[-+]?\.(?:inf)|\.nan|"
           r"\d{4}-\d{1,2}-\d{1,2}.*|=|<<)$")
 
@@ -31,6 +30,15 @@ def _key_line(key: str) -> str:
     return rf"(?m)^{key}:(?:[ \t]+(.*?))?[ \t]*$"
 
 
+def _is_plain(raw: Column) -> Column:
+    """A plain scalar that may be taken verbatim.
+
+    Said by what it must not have (``: ``, `` #``, a colon at the end): a
+    pattern that repeats a group is matched recursively, one frame for each
+    character, and a long text would overflow the stack."""
+    return raw.rlike(_PLAIN_START) & ~raw.rlike(r":[ \t]|[ \t]#|:$")
+
+
 def _native_scalar(c: Column, key: str, allow_typed: bool,
                    single_key: bool = False) -> tuple[Column, Column]:
     """(value, simple) for the first top-level ``key:`` line of ``c``.
@@ -44,16 +52,18 @@ def _native_scalar(c: Column, key: str, allow_typed: bool,
     # the line after the key line must start a new key (column 0) or end text
     after = F.regexp_extract(c, rf"(?ms)^{key}:[^\n]*\n(.?)", 1)
     next_ok = ~after.rlike(r"^[ \t]")
-    plain = raw.rlike(rf"^{_PLAIN}$") & (allow_typed | ~raw.rlike(_TYPED))
-    single = raw.rlike(r"^'(?:[^']|'')*'$")
-    double = raw.rlike(r'^"[^"\\]*"$')
+    plain = _is_plain(raw) & (allow_typed | ~raw.rlike(_TYPED))
     inner = raw.substr(F.lit(2), F.length(raw) - 2)
+    long = F.length(raw) >= 2
+    single = (long & raw.startswith("'") & raw.endswith("'")
+              & ~F.replace(inner, F.lit("''"), F.lit("")).contains("'"))
+    double = long & raw.startswith('"') & raw.endswith('"') & ~inner.rlike(r'["\\]')
     value = (F.when(plain, raw)
              .when(single, F.replace(inner, F.lit("''"), F.lit("'")))
              .when(double, inner))
     # a line before the key line that starts a flow collection, a quoted or a
     # complex key could hide an earlier top-level key: not simple
-    risky_prefix = c.rlike(rf"(?s)^(?:(?!\n{key}:).)*?(?:^|\n)[\[{{'\"?]")
+    risky_prefix = F.split(c, rf"(?m)^{key}:", 2)[0].rlike(r"(?m)^[\[{'\"?]")
     simple = has_key & next_ok & (plain | single | double) & ~risky_prefix
     if single_key:
         simple = simple & (F.regexp_count(c, F.lit(rf"(?m)^{key}:")) == 1)
@@ -153,9 +163,11 @@ def comment_text(comment_yaml: Column) -> Column:
     return F.when(simple, value).when(hard, _comment_text_udf(F.when(hard, comment_yaml)))
 
 
-def has_line(data: Column, line: str) -> Column:
-    """``data LIKE '%<newline><line><newline>%'`` (ASCII case-insensitive)."""
-    return F.lower(data).contains("\n" + line.lower() + "\n")
+def unreadable_comments(df, col: str):
+    """Rows of ``df`` whose comment text is NULL although the document names one."""
+    c = F.col(col)
+    return with_comment_text(df, col, "__text").filter(
+        F.col("__text").isNull() & c.rlike(r"(?m)^text:[ \t]*[^ \t\n~]")).drop("__text")
 
 
 # ----------------------------------------------------- DataFrame operators

@@ -1,103 +1,89 @@
-"""Status vocabulary (team settings YAML -> (team_id, status_id, label)) and
+"""Status vocabulary (team settings text -> (team_id, status_id, label)) and
 the label lookup that replaces status ids in the items report.
 
-Team settings are a Rails-flavoured YAML document (symbol keys such as
-``:statuses``, Ruby tags).  One settings document per team; the parse runs in
-a pandas UDF on Arrow batches of teams (there is one row per team, so this is
-small work spread over whatever partitions the teams table has), the result
-is exploded into rows and joined by (team_id, status_id).  The join is left
-to the planner: the vocabulary is small, so AQE broadcasts it once its real
-size is known, and falls back to a shuffle join if a deployment has very
-many teams.
+Settings are YAML text whose keys may be symbols (``:statuses``) or strings.
+The list of statuses is cut out of the text by its indentation and each entry
+is a row; id and label are read from the entry's own lines with Spark's text
+functions, so one entry that can't be read costs that entry only
+(``unreadable_statuses`` lists them).  The join is left to the planner: the
+vocabulary is small, so it is broadcast once its real size is known, and
+shuffled if there are very many teams.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# The Ruby tags found in settings documents.
-RUBY_HASH_TAG = "!ruby/hash:ActiveSupport::HashWithIndifferentAccess"
-RUBY_PARAMS_TAG = "!ruby/hash-with-ivars:ActionController::Parameters"
-RUBY_SET_TAG = "!ruby/object:Set"
-
-VOCAB_TYPE = T.ArrayType(T.StructType([T.StructField("status_id", T.StringType()),
-                                       T.StructField("status_label", T.StringType())]))
-
-
-def _loader_class():
-    import yaml
-
-    class SettingsLoader(yaml.SafeLoader):
-        pass
-
-    def plain_mapping(loader, node):
-        return loader.construct_mapping(node)
-
-    def parameters(loader, node):
-        # ActionController::Parameters keeps its content under "elements"
-        return loader.construct_mapping(node, deep=True).get("elements")
-
-    def ruby_set(loader, node):
-        return []   # sets never hold statuses; their complex keys are skipped
-
-    SettingsLoader.add_constructor(RUBY_HASH_TAG, plain_mapping)
-    SettingsLoader.add_constructor(RUBY_PARAMS_TAG, parameters)
-    SettingsLoader.add_constructor(RUBY_SET_TAG, ruby_set)
-    return yaml, SettingsLoader
-
-
-def _either(d, name):
-    """Value under ``:name`` (a Ruby symbol) or ``name``; symbol first."""
-    if not isinstance(d, dict):
-        return None
-    for k in (":" + name, name):
-        if k in d:
-            return d[k]
-    return None
-
-
-def parse_status_vocabulary(settings: str | None) -> list[dict] | None:
-    """[(status_id, status_label)] in document order; [] when the team has no
-    status section; None when the document cannot be read (the team's ids
-    are then shown as they are)."""
-    if settings is None:
-        return []
-    yaml, loader_cls = _loader_class()
-    try:
-        doc = yaml.load(settings, Loader=loader_cls)  # noqa: S506 - SafeLoader subclass
-    except yaml.YAMLError:
-        return None
-    outer = _either(doc, "media_verification_statuses")
-    if outer is None:
-        return []
-    statuses = _either(outer, "statuses")
-    if not isinstance(statuses, list):
-        return None
-    out = []
-    for s in statuses:
-        sid, label = _either(s, "id"), _either(s, "label")
-        if sid is None or label is None:
-            return None
-        if isinstance(sid, str):   # lookups are by the decoded (string) status id
-            out.append({"status_id": sid, "status_label": str(label)})
-    return out
-
-
-@F.pandas_udf(VOCAB_TYPE)
-def _vocabulary_udf(settings: pd.Series) -> pd.Series:
-    return settings.map(parse_status_vocabulary)
+
+SECTION, LIST = "media_verification_statuses", "statuses"
+
+
+def _after(text: Column, key: str) -> Column:
+    """The text below the line of a key (symbol or string), or NULL."""
+    line = rf"(?m)^ *:?{key}:.*$"
+    return F.when(text.rlike(line), F.split(text, line, 2)[1])
+
+
+def _indent(line: Column) -> Column:
+    return F.length(line) - F.length(F.ltrim(line))
+
+
+def _entries(teams: DataFrame) -> DataFrame:
+    """(team_id, pos, entry, depth): the statuses of each team, one row for each.
+
+    ``entry`` starts with as many blanks as its own keys have (``depth``)."""
+    below = _after(_after(F.col("settings"), SECTION), LIST)
+    lines = F.filter(F.split(below, "\n"), lambda x: F.trim(x) != "")
+    cut = (teams.select(F.col("id").alias("team_id"), lines.alias("lines"))
+           .withColumn("dash", _indent(F.col("lines")[0]))
+           .where(F.substring(F.ltrim(F.col("lines")[0]), 1, 2) == "- "))
+    # the list ends at a line further left, or as far left that starts no entry
+    ends = F.transform("lines", lambda x: (_indent(x) < F.col("dash"))
+                       | ((_indent(x) == F.col("dash")) & ~F.ltrim(x).startswith("- ")))
+    end = F.array_position(ends, True)
+    block = F.array_join(F.when(end > 0, F.slice("lines", F.lit(1), (end - 1).cast("int")))
+                         .otherwise(F.col("lines")), "\n")
+    entries = F.split(block, F.concat(F.lit("(?m)^ {"), F.col("dash").cast("string"), F.lit("}- ")))
+    rows = cut.select("team_id", (F.col("dash") + 2).alias("depth"), F.posexplode(entries).alias("pos", "entry"))
+    return rows.where(F.col("pos") > 0).withColumn(
+        "entry", F.concat(F.repeat(F.lit(" "), F.col("depth")), F.col("entry")))
+
+
+def _own(key: str) -> Column:
+    """The text after the entry's own key, symbol first; NULL if there is none."""
+    def found(mark: str) -> Column:
+        start = F.concat(F.lit("(?m)^ {"), F.col("depth").cast("string"), F.lit(f"}}{mark}{key}:[ \t]+(.*)$"))
+        return F.call_function("regexp_extract", F.col("entry"), start, F.lit(1))
+    symbol, plain = F.rtrim(found(":")), F.rtrim(found(""))
+    return F.nullif(F.when(symbol != "", symbol).otherwise(plain), F.lit(""))
+
+
+def _scalar(raw: Column) -> Column:
+    """A one-line scalar without its quotes; NULL for block and flow values."""
+    inner = raw.substr(F.lit(2), F.length(raw) - 2)
+    doubled = F.replace(F.replace(inner, F.lit('\\"'), F.lit('"')), F.lit("\\\\"), F.lit("\\"))
+    comment = F.regexp_replace(raw, r"[ \t]+#.*$", "")
+    return (F.when(raw.startswith("'") & raw.endswith("'") & (F.length(raw) >= 2),
+                   F.replace(inner, F.lit("''"), F.lit("'")))
+            .when(raw.startswith('"') & raw.endswith('"') & (F.length(raw) >= 2), doubled)
+            .when(~raw.rlike(r"^[\[{|>&*!]"), comment))
+
+
+def _read(teams: DataFrame) -> DataFrame:
+    return _entries(teams).select("team_id", "pos", "entry", _scalar(_own("id")).alias("status_id"),
+                                  _scalar(_own("label")).alias("status_label"))
 
 
 def status_vocabulary(teams: DataFrame) -> DataFrame:
     """(team_id, status_id, status_label), one row per status of each team.
     A later duplicate id of the same team wins, as in a dictionary."""
-    entries = teams.select(F.col("id").alias("team_id"),
-                           F.posexplode(_vocabulary_udf(F.col("settings"))).alias("pos", "s"))
-    return (entries.groupBy("team_id", F.col("s.status_id").alias("status_id"))
-            .agg(F.max_by(F.col("s.status_label"), F.col("pos")).alias("status_label")))
+    read = _read(teams).where(F.col("status_id").isNotNull() & F.col("status_label").isNotNull())
+    return read.groupBy("team_id", "status_id").agg(F.max_by("status_label", "pos").alias("status_label"))
+
+
+def unreadable_statuses(teams: DataFrame) -> DataFrame:
+    """(team_id, pos, entry) of listed statuses whose id or label can't be read."""
+    return _read(teams).where(F.col("status_id").isNull() | F.col("status_label").isNull()).select("team_id", "pos", "entry")
 
 
 def label_statuses(df: DataFrame, vocabulary: DataFrame, team_col: str, status_col: str) -> DataFrame:

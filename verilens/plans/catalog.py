@@ -464,13 +464,13 @@ def _str_concat_null(ws):
 
 
 @ws_query("str_build_url", "SELECT pm.id AS item_id, '" + I.DEFAULT_ITEM_BASE_URL + "' || t.slug || "
-                           "'/media/' || CAST(pm.id AS VARCHAR) AS check_url "
+                           "'/media/' || CAST(pm.id AS VARCHAR) AS item_url "
                            "FROM project_medias pm JOIN teams t ON t.id = pm.team_id")
 def _str_build_url(ws):
     pm, t = ws["project_medias"], ws["teams"]
     j = pm.join(t.select(F.col("id").alias("t_id"), "slug"), pm.team_id == F.col("t_id"))
     return j.select(pm.id.alias("item_id"),
-                    S.build_item_url(I.DEFAULT_ITEM_BASE_URL, F.col("slug"), pm.id).alias("check_url"))
+                    S.build_item_url(I.DEFAULT_ITEM_BASE_URL, F.col("slug"), pm.id).alias("item_url"))
 
 
 @ws_query("cast_prefix_int", f"SELECT id, {Q.prefix_int('value')} AS n FROM dynamic_annotation_fields")

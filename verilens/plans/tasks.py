@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from verilens.functions.answers import DEFAULT_ASSET_BASE_URL, value_source, with_answer
 from verilens.functions.strings import strip_ruby_header
-from verilens.functions.yaml_text import has_line, with_comment_text, with_task_label
+from verilens.functions.strings import contains_line
+from verilens.functions.yaml_text import with_comment_text, with_task_label
 from verilens.operators.lookup import left_join_skew_safe
 from verilens.operators.topk import first_per_key, id_bucket, row_number
 from verilens.operators.typing import typed
@@ -46,7 +47,7 @@ def first_task_comments(ws: Workspace) -> DataFrame:
 
 
 def task_or_metadata(data) -> F.Column:
-    return F.when(has_line(data, "fieldset: metadata"), F.lit("metadata")).otherwise(F.lit("task"))
+    return F.when(contains_line(data, "fieldset: metadata"), F.lit("metadata")).otherwise(F.lit("task"))
 
 
 def answered_responses(ws: Workspace, asset_base_url: str = DEFAULT_ASSET_BASE_URL) -> DataFrame:
