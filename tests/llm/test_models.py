@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from verilens.llm import langid, pseudonyms, quality, toxicity
@@ -67,6 +68,22 @@ def test_codewords_are_apart():
         assert min((a != b).sum() for i, a in enumerate(words) for b in words[:i]) >= (1 if n == 2 else 2 if n < 5 else 8)
 
 
+@pytest.mark.parametrize("most", [1, 2, 40, 300, 5000])
+def test_language_sample_matches_a_window(spark, most):
+    ids = spark.range(2000).select("id", F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 30 == 0, "rare").otherwise("some").alias("lang"))
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
+    want = ids.withColumn("n", turn).orderBy("n", F.xxhash64("id"), "id").limit(most).select("id", "lang")
+    got = langid.sample_ids(ids, most)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_language_sample_takes_repeated_rows_once(spark):
+    ids = spark.createDataFrame([(1, "de")] * 50 + [(2, "de"), (2, "en"), (3, "en")], "id long, lang string")
+    got = sorted(map(tuple, langid.sample_ids(ids, 100).collect()))
+    assert got == [(1, "de"), (2, "de"), (2, "en"), (3, "en")]
+    assert langid.sample_ids(ids.limit(0)).collect() == []
+
+
 def test_a_wrong_bit_is_corrected():
     words = langid.codewords(5)
     codes = langid.Codes(list("abcde"), words, np.ones(words.shape[1]) / words.shape[1], np.zeros((1, words.shape[1])), np.zeros(words.shape[1]))

@@ -33,6 +33,7 @@ from pyspark.sql.functions import arrow_udf
 
 from verilens.llm.labelled import in_fold
 from verilens.llm.textbatch import WORD, Runs, as_strings, by_slice, flat, gram_hashes, segment_sum, slices
+from verilens.session import stored
 
 SAMPLE_DOCS = 4_000
 BUCKETS = 1 << 13
@@ -98,12 +99,29 @@ def _means(texts: pa.Array) -> Iterator[np.ndarray]:
         yield (x / max(1, x.sum())).astype(np.float32)
 
 
+def sample_ids(rows: DataFrame, most: int = SAMPLE_DOCS) -> DataFrame:
+    """At most ``most`` distinct (id, lang), the languages in turn, by hash of the id.
+
+    A window over a language would bring a third of all rows into one task, so
+    their ids are written once and counted by ranges of the hash (combined before
+    the shuffle) and only ranges that start within the first ``most`` rows of their
+    language are read.  More than ``most`` languages can't all be sampled: those
+    with the smallest hashes are taken, which also bounds the broadcast."""
+    hashed = stored(rows.select("lang", "id", F.xxhash64("id").alias("h")).withColumn("range", F.shiftright("h", 48)), "hashed")
+    earlier = Window.partitionBy("lang").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    read = (hashed.groupBy("lang", "range").agg(F.count("*").alias("n"), F.min("h").alias("least"))
+            .withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).where(F.col("before") < most)
+            .groupBy("lang").agg(F.max("range").alias("last"), F.min("least").alias("least"))
+            .orderBy("least", "lang").limit(most).select("lang", "last"))
+    near = hashed.join(F.broadcast(read), "lang").where(F.col("range") <= F.col("last")).select("lang", "id", "h").distinct()
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
+    return near.withColumn("n", turn).orderBy("n", "h", "id", "lang").limit(most).select("id", "lang")
+
+
 def fit(docs: DataFrame, most: int = SAMPLE_DOCS) -> Codes | None:
-    """Codes for (id, text, lang) rows; the sample takes the languages in turn, by hash of the id."""
+    """Codes for (id, text, lang) rows, fitted on ``sample_ids``."""
     rows = docs.select("id", "text", "lang").where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.col("lang") != "") & (F.col("lang") != UNDETERMINED))
-    first = Window.partitionBy("lang").orderBy("h", "id")
-    ids = (rows.select("lang", "id", F.xxhash64("id").alias("h")).withColumn("n", F.row_number().over(first)).where(F.col("n") <= most)
-           .orderBy("n", "h", "id", "lang").limit(most).select("id", "lang").distinct())
+    ids = sample_ids(rows, most)
     sample = rows.join(F.broadcast(ids), ["id", "lang"]).groupBy("id", "lang").agg(F.min("text").alias("text"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
