@@ -36,6 +36,8 @@ from verilens.llm.textbatch import WORD, Runs, as_strings, by_slice, flat, gram_
 from verilens.session import stored
 
 SAMPLE_DOCS = 4_000
+#: Ranges of the hash (2 to this power) by which a language's rows are counted.
+RANGE_BITS = 12
 BUCKETS = 1 << 13
 GRAMS = (1, 2, 3, 4)
 ROUNDS, RATE, L2 = 200, 0.05, 1e-5
@@ -107,7 +109,7 @@ def sample_ids(rows: DataFrame, most: int = SAMPLE_DOCS) -> DataFrame:
     the shuffle) and only ranges that start within the first ``most`` rows of their
     language are read.  More than ``most`` languages can't all be sampled: those
     with the smallest hashes are taken, which also bounds the broadcast."""
-    hashed = stored(rows.select("lang", "id", F.xxhash64("id").alias("h")).withColumn("range", F.shiftright("h", 48)), "hashed")
+    hashed = stored(rows.select("lang", "id", F.xxhash64("id").alias("h")).withColumn("range", F.shiftright("h", 64 - RANGE_BITS)), "hashed")
     earlier = Window.partitionBy("lang").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     read = (hashed.groupBy("lang", "range").agg(F.count("*").alias("n"), F.min("h").alias("least"))
             .withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).where(F.col("before") < most)
