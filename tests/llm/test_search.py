@@ -150,6 +150,36 @@ def test_templates_find_copies_and_new_parameters(spark, docs):
     assert contaminated(spark, docs, texts, ()) == []
 
 
+LONG = ("We picked 3 apples from the low tree behind the barn while the other children were still asleep in the warm house above the stables"
+        " and much later that day we found 3 pears under the old wall near the gate where nobody had looked for fruit all summer long.")
+
+
+def test_templates_keep_the_consistent_part_of_a_contradictory_copy(spark, docs):
+    texts = [LONG.replace("3 pears", "5 pears"), LONG.replace("3 apples", "5 apples"), LONG.replace("3 apples", "4 apples").replace("3 pears", "5 pears"),
+             LONG.replace("3", "4"), "We picked 3 apples from the low tree and found 5 pears under the old wall"]
+    assert contaminated(spark, docs, texts, (LONG,)) == [(0, 0, False), (1, 0, False), (2, 0, True), (3, 0, True)]
+
+
+def test_consistent_stretches_of_a_diagonal_match_brute_force():
+    rng = random.Random(4)
+    for _ in range(2000):
+        places = sorted(rng.sample(range(30), rng.randint(1, 25)))
+        pairs = [{"place": p, "a": rng.choice("xy"), "b": rng.choice("xyuv")} for p in places if rng.random() < 0.3]
+        slot, own = {p["place"]: p for p in pairs}, {p["a"] for p in pairs if p["a"] == p["b"]}
+
+        def fits(part, slot=slot, own=own):
+            inside = [slot[p] for p in part if p in slot]
+            return (not any(x["a"] in own and x["a"] != x["b"] for x in inside)
+                    and len({x["a"] for x in inside}) == len({(x["a"], x["b"]) for x in inside}))
+
+        spans = [(i, j) for i in range(len(places)) for j in range(i, len(places) + 1) if fits(places[i:j])]
+        longest = max(j - i for i, j in spans)
+        want = [{p for i, j in spans if j - i >= 5 or (i, j) == first for p in places[i:j]} for first in spans if first[1] - first[0] == longest]
+        got, changed = templates.kept_places(places, pairs, 5)
+        assert set(got) in want and len(set(got)) == len(got)
+        assert changed == any(slot[p]["a"] != slot[p]["b"] for p in got if p in slot)
+
+
 def test_clean_rows_keep_their_columns(spark, odd, docs):
     bench = spark.createDataFrame([(1, ITEMS[1])], "item_id long, text string")
     kept = templates.clean_rows(odd.unionByName(docs([ITEMS[1]]).select("*", *[F.lit(None).cast(t).alias(c) for c, t in odd.dtypes[5:]])), bench)

@@ -6,7 +6,8 @@ replaced by typed placeholders.  Windows of ``WINDOW`` template words are joined
 by equality with those of the benchmark; an item shorter than a window is one
 window of its own length.  Matches of one document and item on one diagonal must
 fill the slots consistently: one value of the item always stands against one
-value of the document.  A document is contaminated if its consistent matches
+value of the document.  Of a diagonal that doesn't, the consistent stretches are
+kept (``consistent_places``).  A document is contaminated if its consistent matches
 cover at least ``COVERED`` words of an item, or the whole of a shorter one; it
 is re-parameterised if some slot has another value.
 
@@ -169,6 +170,52 @@ def document_windows(text: Column, bits: np.ndarray, lengths: list[int]) -> Colu
     return found(text)
 
 
+_PAIR = "array<struct<place:int,a:string,b:string>>"
+
+
+def kept_places(places: list[int], pairs: list[dict], enough: int) -> tuple[list[int], bool]:
+    """The places of a contradictory diagonal that count, and whether a slot there has another value.
+
+    These are its longest consistent stretch of places and any other of at least ``enough``.
+    A changed value contradicts everywhere if the item's own stands elsewhere on the diagonal."""
+    same = {p["a"] for p in pairs if p["a"] == p["b"]}
+    slots = {p["place"]: (p["a"], p["b"]) for p in pairs}
+    found, first, seen = [], 0, {}  # seen: last index of each (value, document's value)
+    others: dict[str, tuple[str, int]] = {}  # value -> its last document's value, last index of any before that
+    for k, place in enumerate(places):
+        if place not in slots:
+            continue
+        a, b = slots[place]
+        if a in same and a != b:
+            found.append((first, k))
+            first = k + 1
+            continue
+        last, before = others.get(a, (b, -1))
+        if last != b:
+            before = seen[a, last]
+        if before >= first:
+            found.append((first, k))
+            first = before + 1
+        others[a], seen[a, b] = (b, before), k
+    found.append((first, len(places)))
+    longest = max(found, key=lambda x: x[1] - x[0])
+    kept = sorted({place for x in found if x == longest or x[1] - x[0] >= enough for place in places[x[0]:x[1]]})
+    return kept, any(slots[p][0] != slots[p][1] for p in kept if p in slots)
+
+
+def consistent_places(places: Column, pairs: Column, enough: Column) -> Column:
+    """struct(places, changed) by ``kept_places``; null where ``places`` is null."""
+    kind = pa.struct([("places", pa.list_(pa.int32())), ("changed", pa.bool_())])
+
+    @arrow_udf("places array<int>, changed boolean")
+    def found(places: pa.Array, pairs: pa.Array, enough: pa.Array) -> pa.Array:
+        rows = [None if x is None else dict(zip(("places", "changed"), kept_places(x, y, n), strict=True))
+                for x, y, n in zip(places.to_pylist(), pairs.to_pylist(), enough.to_pylist(), strict=True)]
+        return pa.array(rows, kind)
+
+    return found(places, pairs.cast(_PAIR), enough)
+
+
 def document_key(id_col: Column, text: Column) -> list[Column]:
     """Two hashes that name a document row, never null; equal for repeated rows only."""
     return [F.xxhash64(id_col, text).alias("k1"), F.xxhash64(text, F.lit("key"), id_col).alias("k2")]
@@ -197,20 +244,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     found = docs.select(F.col(id_col).alias("doc_id"), *keys, document_windows(F.col(text_col), bits.view(np.uint8), lengths).alias("windows"))
     found = stored(found.where(F.size("windows") > 0), "candidate-windows").select("doc_id", "k1", "k2", F.explode("windows").alias("w"))
     found = found.select("doc_id", "k1", "k2", F.col("w.template").alias("template"), F.col("w.pos").alias("pos"), F.col("w.slots").alias("slots")).distinct()
-    pairs = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    at = F.filter(F.transform(F.split("template", " "), lambda w, k: F.when(w.isin(NUMBER, NAME, UNIT), F.col("item_pos") + k)), lambda k: k.isNotNull())
+    pairs = F.arrays_zip(at.alias("place"), F.col("item_slots").alias("a"), F.col("slots").alias("b"))
     matches = found.join(items, "template").select(
         "doc_id", "k1", "k2", "item_id", "n_item_words", (F.col("pos") - F.col("item_pos")).alias("diagonal"),
-        F.sequence("item_pos", F.col("item_pos") + F.col("n") - 1).alias("places"), pairs.alias("pairs"))
+        F.sequence("item_pos", F.col("item_pos") + F.col("n") - 1).alias("places"), pairs.cast(_PAIR).alias("pairs"))
     document = ["doc_id", "k1", "k2", "item_id", "n_item_words"]
     by_diagonal = matches.groupBy(*document, "diagonal").agg(
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"),
         F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
-    values = F.size(F.array_distinct(F.transform("pairs", lambda p: p["a"])))
-    consistent = by_diagonal.where(F.size("pairs") == values)
+    enough = F.least(F.lit(covered), F.col("n_item_words"))
+    values = F.array_distinct(F.transform("pairs", lambda p: p["a"]))
+    filled = F.array_distinct(F.transform("pairs", lambda p: F.struct(p["a"], p["b"])))
+    split = F.size(values) < F.size(filled)
+    by_diagonal = by_diagonal.withColumn("kept", consistent_places(F.when(split, F.col("places")), F.when(split, F.col("pairs")), enough))
     changed = F.exists("pairs", lambda p: p["a"] != p["b"])
+    consistent = by_diagonal.select(*document, F.coalesce("kept.places", "places").alias("places"), F.coalesce("kept.changed", changed).alias("changed"))
     covering = consistent.groupBy(*document).agg(
-        F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("n_covered"), F.max(changed).alias("reparameterised"))
-    return (covering.where(F.col("n_covered") >= F.least(F.lit(covered), F.col("n_item_words")))
+        F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("n_covered"), F.max("changed").alias("reparameterised"))
+    return (covering.where(F.col("n_covered") >= enough)
             .select("k1", "k2", "doc_id", "item_id", "n_item_words", "n_covered", "reparameterised"))
 
 
