@@ -160,6 +160,15 @@ def test_templates_keep_the_consistent_part_of_a_contradictory_copy(spark, docs)
     assert contaminated(spark, docs, texts, (LONG,)) == [(0, 0, False), (1, 0, False), (2, 0, True), (3, 0, True)]
 
 
+def test_templates_find_copies_in_another_case_or_line_width(spark, docs):
+    named = "Anna met Berta near Carla while Dora and Emma saw Fritz call Gustav or Hans from Ida to Jonas by Karl."
+    short = "Where did Maria Lopez live then"
+    items = (named, short, LONG)
+    texts = [named.lower(), named.upper(), named.title(), named.replace(" ", "\n", 7), "He asked: I wonder where did maria lopez live then", "So Where did Maria Lopez live then",
+             LONG.upper(), LONG.replace("3 apples", "4\napples").replace("3", "4"), named.replace("Fritz", "Otto").lower().replace("dora", "x"), "where did maria live then"]
+    assert contaminated(spark, docs, texts, items) == [(0, 0, False), (1, 0, False), (2, 0, False), (3, 0, False), (4, 1, False), (5, 1, False), (6, 2, False), (7, 2, True)]
+
+
 def test_consistent_stretches_of_a_diagonal_match_brute_force():
     rng = random.Random(4)
     for _ in range(2000):

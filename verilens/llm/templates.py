@@ -2,7 +2,10 @@
 
 A text becomes a template: its words in lower case, with numbers, names (runs
 of capitalised words that don't start a sentence) and units (after a number)
-replaced by typed placeholders.  Windows of ``WINDOW`` template words are joined
+replaced by typed placeholders.  As names hang on capitals and line ends, a text
+has a second, literal template without names, in which a new line ends no
+sentence; a match in either form counts, and the first is reported if both do.
+Windows of ``WINDOW`` template words are joined
 by equality with those of the benchmark; an item shorter than a window is one
 window of its own length.  Matches of one document and item on one diagonal must
 fill the slots consistently: one value of the item always stands against one
@@ -46,14 +49,15 @@ UNITS = frozenset("""mm cm m km inch inches foot feet ft yard yards mile miles m
 
 _END, _POINT = np.zeros(256, bool), np.zeros(256, bool)
 _END[[*b".!?:;\n"]] = True
+_STOP = _END.copy()  # of the literal template
+_STOP[0x0A] = False
 _POINT[[*b".,"]] = True
 
-WINDOWS = "array<struct<h:long,template:string,pos:int,n:int,slots:array<string>>>"
+WINDOWS = "array<struct<literal:boolean,h:long,template:string,pos:int,n:int,slots:array<string>>>"
 
 
-class _Template:
-    """The template words of a batch: ``values`` (hash of each), ``slot`` (0 plain,
-    1 number, 2 name, 3 unit), ``off`` (by text), and where their bytes lie."""
+class _Words:
+    """The words of a batch, and for each distinct one its hash and kind."""
 
     def __init__(self, texts: pa.Array):
         self.raw, off = flat(texts)
@@ -70,20 +74,29 @@ class _Template:
         second = braw[np.minimum(boff[:-1] + 1, len(braw) - 1)] if len(braw) else head
         capital = ((head >= 0x41) & (head <= 0x5A)) | ((head == 0xC3) & (second >= 0x80) & (second <= 0x9E))
         capital &= pa.compute.match_substring_regex(words, r"^.\PL*\p{Ll}").to_numpy(zero_copy_only=False)
-        number = DIGIT[head]
-        unit = pa.compute.is_in(lower, value_set=pa.array(sorted(UNITS))).to_numpy(zero_copy_only=False)
+        self.runs, self.capital, self.number = runs, capital, DIGIT[head]
+        self.unit = pa.compute.is_in(lower, value_set=pa.array(sorted(UNITS))).to_numpy(zero_copy_only=False)
+        self.hashes = whole_hashes(*flat(lower))
+
+
+class _Template:
+    """The template words of a batch: ``values`` (hash of each), ``slot`` (0 plain,
+    1 number, 2 name, 3 unit), ``off`` (by text), and where their bytes lie."""
+
+    def __init__(self, words: _Words, literal: bool):
+        self.raw, self.literal, runs = words.raw, literal, words.runs
         code, starts, ends = runs.codes, runs.starts, runs.ends
         n = len(code)
         begins = np.zeros(n, bool)
         begins[runs.off[:-1][runs.off[:-1] < n]] = True
         # a point between digits is part of the number and ends no sentence
-        ended = np.concatenate([[0], np.cumsum(_END[raw])])
+        ended = np.concatenate([[0], np.cumsum((_STOP if literal else _END)[self.raw])])
         fresh = begins.copy()
         fresh[1:] |= ended[starts[1:]] > ended[ends[:-1]]
-        is_number = number[code]
-        is_name = capital[code] & ~fresh
+        is_number = words.number[code]
+        is_name = np.zeros(n, bool) if literal else words.capital[code] & ~fresh
         is_unit = np.zeros(n, bool)
-        is_unit[1:] = unit[code[1:]] & is_number[:-1] & ~fresh[1:]
+        is_unit[1:] = words.unit[code[1:]] & is_number[:-1] & ~fresh[1:]
         is_name &= ~is_unit
         go_on = np.zeros(n, bool)  # further words of one name
         go_on[1:] = is_name[1:] & is_name[:-1]
@@ -95,8 +108,7 @@ class _Template:
         self.ends = np.where(is_name[following], ends[last], ends[following]) if n else ends
         self.slot = (is_number * 1 + is_name * 2 + is_unit * 3)[kept]
         self.off = np.concatenate([[0], np.cumsum(kept)])[runs.off]
-        lraw, loff = flat(lower)
-        hashes = whole_hashes(lraw, loff)[code[kept]] if n else np.zeros(0, np.uint64)
+        hashes = words.hashes[code[kept]] if n else np.zeros(0, np.uint64)
         marks = mixed(np.arange(1, 5, dtype=np.uint64) << np.uint64(40))
         self.values = np.where(self.slot > 0, marks[self.slot], hashes)
 
@@ -105,7 +117,7 @@ class _Template:
         count = len(self.values) - n + 1
         if count < 1:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        h = np.full(count, n, np.uint64)
+        h = np.full(count, n + 2 * WINDOW * self.literal, np.uint64)
         for k in range(n):
             h = h * np.uint64(0x100000001B3) + self.values[k:k + count]
         plain = np.concatenate([[0], np.cumsum(self.slot == 0)])
@@ -123,25 +135,27 @@ class _Template:
             if kind:
                 slots.append(" ".join(text.split()))
             words.append((text, NUMBER, NAME, UNIT)[kind])
-        return {"h": h, "template": " ".join(words), "pos": at - first, "n": n, "slots": slots}
+        return {"literal": self.literal, "h": h, "template": " ".join(words), "pos": at - first, "n": n, "slots": slots}
 
 
-_KIND = pa.list_(pa.struct([("h", pa.int64()), ("template", pa.string()), ("pos", pa.int32()), ("n", pa.int32()), ("slots", pa.list_(pa.string()))]))
+_KIND = pa.list_(pa.struct([("literal", pa.bool_()), ("h", pa.int64()), ("template", pa.string()), ("pos", pa.int32()), ("n", pa.int32()), ("slots", pa.list_(pa.string()))]))
 
 
 def item_windows(text: Column) -> Column:
-    """struct(n_words, windows) of each benchmark item."""
-    kind = pa.struct([("n_words", pa.int32()), ("windows", _KIND)])
+    """struct(n_words, windows) of both forms of each benchmark item, the literal one second."""
+    kind = pa.list_(pa.struct([("n_words", pa.int32()), ("windows", _KIND)]))
 
-    @arrow_udf(f"n_words int, windows {WINDOWS}")
+    @arrow_udf(f"array<struct<n_words:int,windows:{WINDOWS}>>")
     def found(texts: pa.Array) -> pa.Array:
         rows = []
         for part in slices(as_strings(texts)):
             for one in (part.slice(i, 1) for i in range(len(part))):
-                t = _Template(one)
-                n = min(WINDOW, len(t.values))
-                at, h = t.windows(n) if n else ((), ())
-                rows.append({"n_words": len(t.values), "windows": [t.row(a, n, x, 0) for a, x in zip(at, np.asarray(h, np.uint64).view(np.int64).tolist(), strict=True)]})
+                words, forms = _Words(one), []
+                for t in (_Template(words, literal) for literal in (False, True)):
+                    n = min(WINDOW, len(t.values))
+                    at, h = t.windows(n) if n else ((), ())
+                    forms.append({"n_words": len(t.values), "windows": [t.row(a, n, x, 0) for a, x in zip(at, np.asarray(h, np.uint64).view(np.int64).tolist(), strict=True)]})
+                rows.append(forms)
         return pa.array(rows, kind)
 
     return found(text)
@@ -155,15 +169,17 @@ def document_windows(text: Column, bits: np.ndarray, lengths: list[int]) -> Colu
         table = np.unpackbits(bits, bitorder="little").astype(bool)
         mask, out = np.uint64(len(table) - 1), []
         for part in slices(as_strings(texts)):
-            t = _Template(part)
+            words = _Words(part)
             rows: list[list[dict]] = [[] for _ in range(len(part))]
-            for n in lengths:
-                at, h = t.windows(n)
-                hit = table[h & mask]
-                hit[hit] = table[(h[hit] >> np.uint64(32)) & mask]
-                doc = np.searchsorted(t.off, at[hit], side="right") - 1
-                for a, x, d in zip(at[hit].tolist(), h[hit].view(np.int64).tolist(), doc.tolist(), strict=True):
-                    rows[d].append(t.row(a, n, x, int(t.off[d])))
+            for literal in (False, True):
+                t = _Template(words, literal)
+                for n in lengths:
+                    at, h = t.windows(n)
+                    hit = table[h & mask]
+                    hit[hit] = table[(h[hit] >> np.uint64(32)) & mask]
+                    doc = np.searchsorted(t.off, at[hit], side="right") - 1
+                    for a, x, d in zip(at[hit].tolist(), h[hit].view(np.int64).tolist(), doc.tolist(), strict=True):
+                        rows[d].append(t.row(a, n, x, int(t.off[d])))
             out.append(pa.array(rows, _KIND))
         return pa.concat_arrays(out) if out else pa.array([], _KIND)
 
@@ -226,9 +242,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """k1, k2, doc_id, item_id, n_item_words, n_covered, reparameterised: one row for
     each document and each benchmark item that it contains."""
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item_col).alias("item_id"), item_windows(F.col(item_text_col)).alias("x")).select(
-        "item_id", "x.n_words", F.explode("x.windows").alias("w")).select(
-        "item_id", F.col("n_words").alias("n_item_words"), F.col("w.h").alias("h"), F.col("w.template").alias("template"),
+    items = benchmark.select(F.col(item_col).alias("item_id"), item_windows(F.col(item_text_col)).alias("forms")).select(
+        "item_id", F.col("forms")[0]["n_words"].alias("n_named"), F.explode("forms").alias("x")).select(
+        "item_id", "n_named", "x.n_words", F.explode("x.windows").alias("w")).select(
+        "item_id", "n_named", F.col("n_words").alias("n_item_words"), F.col("w.literal").alias("literal"), F.col("w.h").alias("h"), F.col("w.template").alias("template"),
         F.col("w.pos").alias("item_pos"), F.col("w.n").alias("n"), F.col("w.slots").alias("item_slots"))
     items = stored(items, "item-windows")
     sizes = items.groupBy("n").agg(F.approx_count_distinct("h").alias("windows")).collect()  # WINDOW rows at most
@@ -243,14 +260,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     keys = document_key(F.col(id_col), F.col(text_col))
     found = docs.select(F.col(id_col).alias("doc_id"), *keys, document_windows(F.col(text_col), bits.view(np.uint8), lengths).alias("windows"))
     found = stored(found.where(F.size("windows") > 0), "candidate-windows").select("doc_id", "k1", "k2", F.explode("windows").alias("w"))
-    found = found.select("doc_id", "k1", "k2", F.col("w.template").alias("template"), F.col("w.pos").alias("pos"), F.col("w.slots").alias("slots")).distinct()
+    found = found.select("doc_id", "k1", "k2", F.col("w.literal").alias("literal"), F.col("w.template").alias("template"), F.col("w.pos").alias("pos"), F.col("w.slots").alias("slots")).distinct()
     at = F.filter(F.transform(F.split("template", " "), lambda w, k: F.when(w.isin(NUMBER, NAME, UNIT), F.col("item_pos") + k)), lambda k: k.isNotNull())
     pairs = F.arrays_zip(at.alias("place"), F.col("item_slots").alias("a"), F.col("slots").alias("b"))
-    matches = found.join(items, "template").select(
-        "doc_id", "k1", "k2", "item_id", "n_item_words", (F.col("pos") - F.col("item_pos")).alias("diagonal"),
+    matches = found.join(items, ["literal", "template"]).select(
+        "doc_id", "k1", "k2", "item_id", "n_named", "literal", "n_item_words", (F.col("pos") - F.col("item_pos")).alias("diagonal"),
         F.sequence("item_pos", F.col("item_pos") + F.col("n") - 1).alias("places"), pairs.cast(_PAIR).alias("pairs"))
-    document = ["doc_id", "k1", "k2", "item_id", "n_item_words"]
-    by_diagonal = matches.groupBy(*document, "diagonal").agg(
+    document = ["doc_id", "k1", "k2", "item_id", "n_named"]
+    form = ["literal", "n_item_words"]
+    by_diagonal = matches.groupBy(*document, *form, "diagonal").agg(
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"),
         F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
     enough = F.least(F.lit(covered), F.col("n_item_words"))
@@ -259,11 +277,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     split = F.size(values) < F.size(filled)
     by_diagonal = by_diagonal.withColumn("kept", consistent_places(F.when(split, F.col("places")), F.when(split, F.col("pairs")), enough))
     changed = F.exists("pairs", lambda p: p["a"] != p["b"])
-    consistent = by_diagonal.select(*document, F.coalesce("kept.places", "places").alias("places"), F.coalesce("kept.changed", changed).alias("changed"))
-    covering = consistent.groupBy(*document).agg(
-        F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("n_covered"), F.max("changed").alias("reparameterised"))
-    return (covering.where(F.col("n_covered") >= enough)
-            .select("k1", "k2", "doc_id", "item_id", "n_item_words", "n_covered", "reparameterised"))
+    consistent = by_diagonal.select(*document, *form, F.coalesce("kept.places", "places").alias("places"), F.coalesce("kept.changed", changed).alias("changed"))
+
+    def covering(literal: bool) -> Column:
+        """struct(n_item_words, n_covered, reparameterised) of the rows of one form."""
+        own = F.col("literal") == literal
+        return F.struct(F.max(F.when(own, F.col("n_item_words"))).alias("n_item_words"),
+                        F.size(F.array_distinct(F.flatten(F.collect_set(F.when(own, F.col("places")))))).alias("n_covered"),
+                        F.max(F.when(own, F.col("changed"))).alias("reparameterised"))
+
+    def contained(x: str) -> Column:
+        return F.col(f"{x}.n_covered") >= F.least(F.lit(covered), F.col(f"{x}.n_item_words"))
+
+    by_form = consistent.groupBy(*document).agg(covering(False).alias("named"), covering(True).alias("literal"))
+    return (by_form.withColumn("x", F.when(contained("named"), F.col("named")).when(contained("literal"), F.col("literal")))
+            .where(F.col("x").isNotNull()).select("k1", "k2", "doc_id", "item_id", "x.n_item_words", "x.n_covered", "x.reparameterised"))
 
 
 def clean_rows(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
