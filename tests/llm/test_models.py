@@ -127,6 +127,29 @@ def test_pseudonyms_keep_formats_and_come_back():
     assert pseudonyms._luhn(card) % 10 == 0 and names.replaced("4482 2741 4597 1354")[0].replace(" ", "") == card
 
 
+@pytest.mark.parametrize("value,text", [
+    ("4111 1111 1111 1111", "{} 123"), ("4111 1111 1111 1111", "{} 12/27"), ("4111 1111 1111 1111", "3 {}"), ("4111-1111-1111-1111", "{}-123"),
+    ("4111111111111111", "item 7 {} 12"), ("4111 1111 1111 1111", "AB12 {} x"), ("4111 1111 1111 1111", "call +49 {}"),
+    ("GB29 NWBK 6016 1331 9268 19", "{}"), ("AT61 1904 3002 3457 3201", "{} EUR"), ("ES91 2100 0418 4502 0005 1332", "{} EUR"),
+    ("2024-01-15", "{}T10:00:00Z"), ("2024-01-15", "at {}T10:00"), ("correcthorse", "password: {} x"), ("correcthorse", "my password :  {}")])
+def test_values_beside_other_groups_are_replaced(docs, value, text):
+    whole = text.format(value)
+    for key in (b"k", b"l", b"m", *(bytes([k]) for k in range(20))):
+        new, n = pseudonyms.Pseudonyms(key).replaced(whole)
+        assert n == 1 and value not in new and len(new) == len(whole)
+        start = text.index("{}")
+        assert new[:start] == whole[:start] and new[start + len(value):] == whole[start + len(value):]
+        assert pseudonyms.Pseudonyms(key, back=True).replaced(new) == (whole, 1)
+
+
+def test_rows_search_all_that_the_patterns_match(docs):
+    texts = ["my password: correcthorse x", "on 2024-01-15T10:00:00 and 2024-01-15", "card 4111 1111 1111 1111 123", "token : abcdefghij", "pay 4111 1111 1111 1111 12/27"]
+    got = pseudonyms.replaced_rows(docs(texts), count_col="n").orderBy("doc_id").collect()
+    names = pseudonyms.Pseudonyms()
+    assert [r.n for r in got] == [1, 2, 1, 1, 1] and [(r.text, r.n) for r in got] == [names.replaced(t) for t in texts]
+    assert got[1].text[3:13] == got[1].text[-10:] != "2024-01-15"
+
+
 def test_rows_are_replaced_like_whole_texts(docs, odd):
     rng = random.Random(3)
     filler = "eine Ähnlichkeit or two \n plain words 7 x=1".split(" ")

@@ -10,7 +10,12 @@ date or area code) are walked over.  The number doesn't depend on separators or
 document, so equal values get equal pseudonyms everywhere; the key and the kind
 are all that goes in, and ``restored`` inverts it.
 
-Only words with a digit, ``@`` or ``=`` and their neighbours are searched with
+A run of groups that fails its check is tried again without its last groups, and
+then from its next group on.  A value found that way gets its usual pseudonym,
+unless that would make the longer run valid: then it walks on along its cycle,
+so that the text can still be restored.
+
+Only words with a digit, ``@``, ``=`` or ``:`` and their neighbours are searched with
 patterns; the rest of the text is copied.
 
 Defined results: null stays null, empty stays empty; values that fail their
@@ -39,7 +44,7 @@ ROUNDS = 10
 KEY = b"replace this key"
 
 _MARK = DIGIT.copy()
-_MARK[[*b"@="]] = True
+_MARK[[*b"@=:"]] = True
 #: Words before and after a marked word that may belong to its value.
 BEFORE, AFTER = 2, 1
 
@@ -48,7 +53,7 @@ _PATTERN = re.compile(r"""
   | (?P<key>(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9]))
   | (?P<secret>(?:token|password|passwd|secret|api_?key)\s{0,2}[=:]\s{0,2}["']?(?P<value>[A-Za-z0-9]{8,}))
   | (?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
-  | (?P<date>(?<![\w.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}[./]\d{2}[./]\d{4})(?!\w|[./-]\d))
+  | (?P<date>(?<![\w.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}[./]\d{2}[./]\d{4})(?:(?=[Tt]\d{2})|(?!\w|[./-]\d)))
   | (?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d))
   | (?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
   | (?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-]))
@@ -56,6 +61,11 @@ _PATTERN = re.compile(r"""
             | (?<!\w)\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}(?!\w) | (?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-]))
 """, re.X | re.A)
 
+#: Characters of an IBAN by country.
+IBAN_LENGTHS = {x[:2]: int(x[2:]) for x in """AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18
+    FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31
+    MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20""".split()}
+
 
 class Feistel:
     """A keyed permutation of 0..size-1 without fixed points, and its inverse."""
@@ -234,21 +244,43 @@ class Pseudonyms:
         y, m, d = f"{out.year:04d}", f"{out.month:02d}", f"{out.day:02d}"
         return _refilled(text, y + m + d if year_first else d + m + y if day_first else m + d + y)
 
+    def _first(self, text: str, at: int) -> tuple[int, int, str, int] | None:
+        """(start, end, kind, start of the first match tried) of the first valid value from ``at`` on; the last is -1 if none failed."""
+        tried = -1
+        while m := _PATTERN.search(text, at):
+            kind = m.lastgroup if m.lastgroup != "value" else "secret"
+            a, b = m.span("value" if kind == "secret" else 0)
+            ends = _ends(text, a, b, kind)
+            for end in [b, *ends]:
+                if self.value(kind, text[a:end]) is not None:
+                    return a, end, kind, tried if end == b else a if tried < 0 else tried
+            tried = a if tried < 0 else tried
+            # a wrong IBAN of its country's length is one value; other runs may hold one from their next group on
+            at = ends[0] if kind == "iban" and ends and text[a:a + 2] in IBAN_LENGTHS else text.find(" ", a, b) + 1 or b
+            if kind == "iban" and IBAN_LENGTHS.get(text[a:a + 2]) == len(text[a:b].replace(" ", "")):
+                at = b
+        return None
+
     def replaced(self, text: str) -> tuple[str, int]:
         """The text with its values replaced, and their number."""
-        n = 0
-
-        def put(m: re.Match) -> str:
-            nonlocal n
-            kind = m.lastgroup if m.lastgroup != "value" else "secret"
-            if kind == "secret":
-                n += 1
-                return m[0][:m.start("value") - m.start()] + self.value("secret", m["value"])
-            new = self.value(kind, m[0])
-            n += new is not None
-            return m[0] if new is None else new
-
-        return _PATTERN.sub(put, text), n
+        pieces, n, at = [], 0, 0
+        while found := self._first(text, at):
+            a, b, kind, tried = found
+            new = self.value(kind, text[a:b])
+            while tried >= 0 and self._first(text[:a] + new + text[b:], tried) != found:
+                new = self.value(kind, new)
+            pieces += [text[at:a], new]
+            n, at = n + 1, b
+        return "".join([*pieces, text[at:]]), n
+
+
+def _ends(text: str, a: int, b: int, kind: str) -> list[int]:
+    """The ends of groups inside text[a:b] that a shorter value may have, last first."""
+    if kind not in ("card", "iban"):
+        return []
+    length = IBAN_LENGTHS.get(text[a:a + 2]) if kind == "iban" else None
+    least, most = (length, length) if length else (15, 34) if kind == "iban" else (13, 19)
+    return [k for k in range(b - 1, a, -1) if text[k] in " -" and least <= sum(map(str.isalnum, text[a:k])) <= most]
 
 
 def _ssn(digits: str) -> bool:
