@@ -62,6 +62,32 @@ def test_vocabularies_of_several_teams(spark):
     assert [(r.team_id, r.pos) for r in unreadable_statuses(teams).collect()] == [(2, 3)]
 
 
+def test_labels_folded_over_lines_are_read_as_pyyaml_does(spark):
+    yaml = pytest.importorskip("yaml")
+    long = "word " * 40 + "end"
+    labels = [long, long + " it's", 'say "' + long + '" \\ twice', "'" + long, long + ": x", "two\n\nlines " + long, "short", "# no comment " + long]
+    dumped = yaml.safe_dump({"media_verification_statuses": {"statuses": [{"id": f"s{k}", "label": x} for k, x in enumerate(labels)]}}, sort_keys=False)
+    own = """media_verification_statuses:
+  statuses:
+  -
+    id: bare
+    label: plain text
+
+      after a blank line # comment
+  - id: open
+    label: "no end
+  - id: noted
+    label: 'quoted' # comment
+"""
+    flow = "media_verification_statuses:\n  statuses: [{id: a, label: b}]\n"
+    mapping = "media_verification_statuses:\n  statuses:\n    a: b\n"
+    teams = spark.createDataFrame([(1, dumped), (2, own), (3, flow), (4, mapping), (5, flow.replace("{id: a, label: b}", "")), (6, "media_verification_statuses:\n  statuses:\nafter: 1\n")],
+                                  "id long, settings string")
+    got = {(r.team_id, r.status_id): r.status_label for r in status_vocabulary(teams).collect()}
+    assert got == {**{(1, f"s{k}"): x for k, x in enumerate(labels)}, (2, "bare"): "plain text\nafter a blank line", (2, "noted"): "quoted"}
+    assert sorted((r.team_id, r.pos) for r in unreadable_statuses(teams).collect()) == [(2, 2), (3, 0), (4, 0)]
+
+
 def test_label_lookup(spark):
     teams = spark.createDataFrame([(1, SYMBOLS), (2, STRINGS)], "id long, settings string")
     rows = spark.createDataFrame([(1, "verified"), (1, "unknown"), (2, "false_claim"), (2, None),

@@ -4,8 +4,9 @@ the label lookup that replaces status ids in the items report.
 Settings are YAML text whose keys may be symbols (``:statuses``) or strings.
 The list of statuses is cut out of the text by its indentation and each entry
 is a row; id and label are read from the entry's own lines with Spark's text
-functions, so one entry that can't be read costs that entry only
-(``unreadable_statuses`` lists them).  The join is left to the planner: the
+functions (with the lines that a scalar is folded over), so one entry that can't
+be read costs that entry only (``unreadable_statuses`` lists them, and a whole
+list of another form).  The join is left to the planner: the
 vocabulary is small, so it is broadcast once its real size is known, and
 shuffled if there are very many teams.
 """
@@ -28,50 +29,68 @@ def _indent(line: Column) -> Column:
     return F.length(line) - F.length(F.ltrim(line))
 
 
+def _filled(line: Column) -> Column:
+    return F.trim(line) != ""
+
+
+def _starts(line: Column) -> Column:
+    """Whether a line starts an entry of a list."""
+    return F.ltrim(line).startswith("- ") | (F.trim(line) == "-")
+
+
 def _entries(teams: DataFrame) -> DataFrame:
     """(team_id, pos, entry, depth): the statuses of each team, one row for each.
 
     ``entry`` starts with as many blanks as its own keys have (``depth``)."""
     below = _after(_after(F.col("settings"), SECTION), LIST)
-    lines = F.filter(F.split(below, "\n"), lambda x: F.trim(x) != "")
-    cut = (teams.select(F.col("id").alias("team_id"), lines.alias("lines"))
-           .withColumn("dash", _indent(F.col("lines")[0]))
-           .where(F.substring(F.ltrim(F.col("lines")[0]), 1, 2) == "- "))
+    first = F.get(F.filter("lines", _filled), F.lit(0))
+    cut = (teams.select(F.col("id").alias("team_id"), F.split(below, "\n").alias("lines"))
+           .withColumn("dash", _indent(first)).where(_starts(first)))
     # the list ends at a line further left, or as far left that starts no entry
-    ends = F.transform("lines", lambda x: (_indent(x) < F.col("dash"))
-                       | ((_indent(x) == F.col("dash")) & ~F.ltrim(x).startswith("- ")))
+    ends = F.transform("lines", lambda x: _filled(x) & ((_indent(x) < F.col("dash"))
+                       | ((_indent(x) == F.col("dash")) & ~_starts(x))))
     end = F.array_position(ends, True)
     block = F.array_join(F.when(end > 0, F.slice("lines", F.lit(1), (end - 1).cast("int")))
                          .otherwise(F.col("lines")), "\n")
-    entries = F.split(block, F.concat(F.lit("(?m)^ {"), F.col("dash").cast("string"), F.lit("}- ")))
+    entries = F.split(block, F.concat(F.lit("(?m)^ {"), F.col("dash").cast("string"), F.lit("}-(?: |$)")))
     rows = cut.select("team_id", (F.col("dash") + 2).alias("depth"), F.posexplode(entries).alias("pos", "entry"))
     return rows.where(F.col("pos") > 0).withColumn(
         "entry", F.concat(F.repeat(F.lit(" "), F.col("depth")), F.col("entry")))
 
 
 def _own(key: str) -> Column:
-    """The text after the entry's own key, symbol first; NULL if there is none."""
+    """The text after the entry's own key with the deeper lines below it, symbol first; NULL if there is none."""
     def found(mark: str) -> Column:
-        start = F.concat(F.lit("(?m)^ {"), F.col("depth").cast("string"), F.lit(f"}}{mark}{key}:[ \t]+(.*)$"))
+        start = F.concat(F.lit("(?m)^ {"), F.col("depth").cast("string"), F.lit(f"}}{mark}{key}:[ \t]+(.*(?:\n(?:[ \t]*$| {{"),
+                         (F.col("depth") + 1).cast("string"), F.lit(",}.*))*+)"))
         return F.call_function("regexp_extract", F.col("entry"), start, F.lit(1))
-    symbol, plain = F.rtrim(found(":")), F.rtrim(found(""))
+    symbol, plain = (F.regexp_replace(found(mark), r"\s+$", "") for mark in (":", ""))
     return F.nullif(F.when(symbol != "", symbol).otherwise(plain), F.lit(""))
 
 
+def _folded(text: Column) -> Column:
+    """A line end as a blank, and n blank lines as n line ends."""
+    lines = F.regexp_replace(text, r"[ \t]*\n[ \t]*", "\n")
+    return F.regexp_replace(F.regexp_replace(lines, r"(?<!\n)\n(?!\n)", " "), r"\n(\n+)", "$1")
+
+
 def _scalar(raw: Column) -> Column:
-    """A one-line scalar without its quotes; NULL for block and flow values."""
-    inner = raw.substr(F.lit(2), F.length(raw) - 2)
+    """A scalar without its quotes; NULL for block and flow values and for a quote that doesn't close."""
+    end = r"\s*(?:\s#.*)?$"
+    single, double = r"(?s)^'([^']*+(?:''[^']*+)*+)'" + end, r'(?s)^"([^"\\]*+(?:\\.[^"\\]*+)*+)"' + end
+    inner = F.regexp_replace(F.regexp_extract(raw, double, 1), r"(?<!\\)((?:\\\\)*)\\\n[ \t]*", "$1")
+    inner = F.regexp_replace(_folded(inner), r"(?<!\\)((?:\\\\)*)\\ ", "$1 ")
     doubled = F.replace(F.replace(inner, F.lit('\\"'), F.lit('"')), F.lit("\\\\"), F.lit("\\"))
-    comment = F.regexp_replace(raw, r"[ \t]+#.*$", "")
-    return (F.when(raw.startswith("'") & raw.endswith("'") & (F.length(raw) >= 2),
-                   F.replace(inner, F.lit("''"), F.lit("'")))
-            .when(raw.startswith('"') & raw.endswith('"') & (F.length(raw) >= 2), doubled)
-            .when(~raw.rlike(r"^[\[{|>&*!]"), comment))
+    comment = F.regexp_replace(raw, r"(?s)\s+#.*$", "")
+    return (F.when(raw.rlike(single), F.replace(_folded(F.regexp_extract(raw, single, 1)), F.lit("''"), F.lit("'")))
+            .when(raw.rlike(double), doubled)
+            .when(~raw.rlike(r"^[\[{|>&*!'\"]"), _folded(comment)))
 
 
 def _read(teams: DataFrame) -> DataFrame:
-    return _entries(teams).select("team_id", "pos", "entry", _scalar(_own("id")).alias("status_id"),
-                                  _scalar(_own("label")).alias("status_label"))
+    # through a generator, or the filters on what is read repeat the patterns beyond what Spark compiles
+    own = _entries(teams).select("team_id", "pos", "entry", F.inline(F.array(F.struct(_own("id").alias("id"), _own("label").alias("label")))))
+    return own.select("team_id", "pos", "entry", _scalar(F.col("id")).alias("status_id"), _scalar(F.col("label")).alias("status_label"))
 
 
 def status_vocabulary(teams: DataFrame) -> DataFrame:
@@ -81,9 +100,22 @@ def status_vocabulary(teams: DataFrame) -> DataFrame:
     return read.groupBy("team_id", "status_id").agg(F.max_by("status_label", "pos").alias("status_label"))
 
 
+def _other_lists(teams: DataFrame) -> DataFrame:
+    """(team_id, pos 0, entry): the text from the list's key on, where it has a value but no entries are cut out of it."""
+    section = _after(F.col("settings"), SECTION)
+    key = rf"(?m)^( *):?{LIST}:(.*)$"
+    first = F.get(F.filter(F.split(_after(section, LIST), "\n"), _filled), F.lit(0))
+    value = F.trim(F.regexp_replace(F.regexp_extract(section, key, 2), r"(^|\s)#.*$", ""))
+    deeper = _indent(first) > F.length(F.regexp_extract(section, key, 1))
+    lost = ~value.isin("", "[]", "~", "null") | ((value == "") & deeper & ~_starts(first))
+    return teams.where(section.rlike(key) & lost).select(
+        F.col("id").alias("team_id"), F.lit(0).alias("pos"), F.regexp_extract(section, rf"(?ms)^ *:?{LIST}:.*", 0).alias("entry"))
+
+
 def unreadable_statuses(teams: DataFrame) -> DataFrame:
-    """(team_id, pos, entry) of listed statuses whose id or label can't be read."""
-    return _read(teams).where(F.col("status_id").isNull() | F.col("status_label").isNull()).select("team_id", "pos", "entry")
+    """(team_id, pos, entry) of listed statuses whose id or label can't be read; pos 0 is a whole list of another form."""
+    read = _read(teams).where(F.col("status_id").isNull() | F.col("status_label").isNull()).select("team_id", "pos", "entry")
+    return read.unionByName(_other_lists(teams))
 
 
 def label_statuses(df: DataFrame, vocabulary: DataFrame, team_col: str, status_col: str) -> DataFrame:
