@@ -10,26 +10,32 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verilens.llm import bpe, dac, embeddings, langid, pseudonyms, quality, simhash, templates, tokencount, toxicity
+from verilens.llm import alignment, bpe, dac, embeddings, langid, pseudonyms, quality, simhash, substrings, templates, tokencount, toxicity, turns
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
-#: Documents of one Arrow batch at most: what a task holds in Python and in its buffers follows from it.
-BATCH_DOCS = 1_000
+#: Documents and bytes of one Arrow batch at most: what a task holds in Python and in its buffers follows from it.
+BATCH_DOCS, BATCH_BYTES = 1_000, 4 << 20
 
 
 def bounded(work: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """``work(spark, ...)`` in a session whose Arrow batches hold at most ``BATCH_DOCS`` rows."""
+    """``work(spark, ...)`` in a session whose Arrow batches hold at most ``BATCH_DOCS`` rows or ``BATCH_BYTES`` bytes.
+
+    A DataFrame is planned when it is used, so the two limits stay set in the session;
+    smaller ones that the session has already are left as they are."""
 
     @wraps(work)
     def run(spark: SparkSession, *args) -> DataFrame:
-        name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-        most = int(spark.conf.get(name))
-        if not 0 < most <= BATCH_DOCS:
-            spark.conf.set(name, BATCH_DOCS)
+        rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+        if not 0 < int(spark.conf.get(rows)) <= BATCH_DOCS:
+            spark.conf.set(rows, BATCH_DOCS)
+        most = spark.conf.get(size)
+        if not (most.rstrip("b").isdigit() and 0 < int(most.rstrip("b")) <= BATCH_BYTES):
+            spark.conf.set(size, BATCH_BYTES)
         return work(spark, *args)
 
     return run
@@ -95,9 +101,22 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.linked(table(spark, sf_dir, "embeddings"))
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after the planted damage."""
+    return turns.repaired_after_damage(table(spark, sf_dir, "conversations"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"), BYTE_BPE, PIECES)
+
+
+def op13_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.without_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: bounded(f) for f in (op1_decontamination, op2_pii, op3_toxicity, op4_token_ids, op5_language, op6_quality, op7_simhash,
-                            op8_token_counts, op9_bpe, op10_embeddings)}
+                            op8_token_counts, op9_bpe, op10_embeddings, op11_conversations, op12_alignment, op13_substrings)}
 
 #: Exact where the index found every link, which it does on the small table that this runs on.
 ORACLE: dict[str, str] = {"op10_embeddings": """
