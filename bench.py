@@ -50,12 +50,12 @@ def _median_of(build) -> float:
 def main() -> None:
     from verilens.plans.catalog import queries
     from verilens.plans.reports import report
-    from verilens.session import local_session
+    from verilens.session import local_session, shared_dir
     from verilens.sources.derived import derive_workspace
     from verilens.sources.workspace import load_workspace, write_workspace
 
     spark = local_session(cores=CPUS, shuffle_partitions=int(CPUS) * 2, app="verilens-bench")
-    scratch = spark.conf.get("spark.checkpoint.dir")
+    scratch = shared_dir(spark)
     if scratch.startswith("/") or scratch.startswith("file:"):
         scratch = tempfile.mkdtemp(prefix="bench-ws-", dir=scratch.replace("file:", ""))
     else:

@@ -8,7 +8,7 @@ quick.
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from sizes import SF_SMALL
 from oracle_util import compare, duck
 from verilens.plans import catalog
 

@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from conftest import SF_SMALL
+from sizes import SF_SMALL
 from verilens.plans.reports import report
 from verilens.sources.derived import derive_workspace
 from verilens.sources.workspace import load_workspace, write_workspace

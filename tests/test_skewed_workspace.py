@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sizes import SF_SMALL
 from oracle_util import compare
 from verilens.oracle.reports_sql import REPORT_CTES
 from verilens.plans.reports import report

@@ -3,7 +3,7 @@
 import pytest
 
 from oracle_util import compare, duck
-from conftest import SF_SMALL
+from sizes import SF_SMALL
 from verilens.oracle.workspace_sql import with_workspace
 from verilens.schemas import WORKSPACE_SCHEMAS
 from verilens.sources.derived import derive_workspace

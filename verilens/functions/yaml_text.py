@@ -174,15 +174,14 @@ def unreadable_comments(df, col: str):
 
 
 def _with_scalar(df, col: str, out: str, key: str, allow_typed: bool, udf, single_key=False):
-    """Rows the expression reads faithfully (or that have no such key) stay
-    native; only the others are sent to the Python parser.  The two parts
-    are disjoint and together cover every row."""
+    """One pass: what the expression reads faithfully stays native; the parser gets
+    the texts of the other rows, and NULL for a row that it has nothing to do for."""
     c = F.col(col)
     value, simple = _native_scalar(c, key, allow_typed, single_key)
-    easy_rows = simple | c.isNull() | _no_key(c, key)
-    easy = df.filter(easy_rows).withColumn(out, F.when(simple, value))
-    hard = df.filter(~easy_rows).withColumn(out, udf(c))
-    return easy.unionByName(hard)
+    read = df.withColumn("__y", F.struct(value.alias("value"), simple.alias("simple")))
+    hard = c.isNotNull() & ~F.coalesce("__y.simple", F.lit(False)) & ~_no_key(c, key)
+    return read.withColumn("__parsed", udf(F.when(hard, c))).withColumn(
+        out, F.when(F.col("__y.simple"), F.col("__y.value")).otherwise(F.col("__parsed"))).drop("__y", "__parsed")
 
 
 def with_task_label(df, col: str, out: str):

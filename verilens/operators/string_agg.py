@@ -4,11 +4,11 @@ Semantics: values joined by ``sep`` in ascending ``order``; NULL values are
 skipped; duplicates kept; a group whose values are all NULL gives NULL.
 
 Scale: a single ``collect_list`` puts a key's whole list in one task before it
-is sorted.  With ``bucket`` (an expression monotone in the order, such as
-``id div 65536`` or a text prefix) the work is done in two levels: each
-``(key, bucket)`` is sorted and joined by its own task, then the per-bucket
-strings are joined in bucket order.  The final row is still one string per
-key (that is the result), but no task sorts a hot key's rows on its own.
+is sorted.  The work is done in two levels: each part of a key
+(``operators.spread``: a heavy key's rows are cut by the order value) is sorted
+and joined by its own task, then the strings of the parts are joined in their order.
+The final row is still one string per key (that is the result), but no task
+sorts a hot key's rows on its own.
 """
 
 from __future__ import annotations
@@ -18,29 +18,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from verilens.operators.spread import HEAVY_ROWS, PART, with_parts
+
 
 def _join_sorted(order: Column, value: Column, sep: str) -> Column:
     items = F.collect_list(F.when(value.isNotNull(), F.struct(order.alias("o"), value.alias("v"))))
     return F.array_join(F.transform(F.array_sort(items), lambda x: x["v"]), sep)
 
 
-def ordered_concat(df: DataFrame, keys: Sequence[str], order: str | Column, value: str | Column,
-                   sep: str, out: str, bucket: Column | None = None) -> DataFrame:
-    order_c = F.col(order) if isinstance(order, str) else order
-    value_c = F.col(value) if isinstance(value, str) else value
-    n_values = F.count(value_c)
-    if bucket is None:
-        return df.groupBy(*keys).agg(
-            F.when(n_values > 0, _join_sorted(order_c, value_c, sep)).alias(out))
-    parts = df.groupBy(*keys, bucket.alias("_bucket")).agg(
-        F.when(n_values > 0, _join_sorted(order_c, value_c, sep)).alias("_part"))
-    return parts.groupBy(*keys).agg(
-        F.when(F.count("_part") > 0,
-               _join_sorted(F.col("_bucket"), F.col("_part"), sep)).alias(out))
-
-
-def text_bucket(c: str | Column, prefix: int = 2) -> Column:
-    """Monotone bucket of a text order key: its first characters (binary
-    order of prefixes agrees with binary order of the texts)."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.substring(col, 1, prefix)
+def ordered_concat(df: DataFrame, keys: Sequence[str], order: str, value: str, sep: str, out: str, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """One row for each key: its values as one string.  ``df`` is read twice, the first time for keys and order only."""
+    n_values = F.count(value)
+    parted = with_parts(df, keys, order, heavy_rows)
+    parts = parted.groupBy(*keys, PART).agg(F.when(n_values > 0, _join_sorted(F.col(order), F.col(value), sep)).alias("_text"))
+    return parts.groupBy(*keys).agg(F.when(F.count("_text") > 0, _join_sorted(F.col(PART), F.col("_text"), sep)).alias(out))

@@ -5,12 +5,14 @@ like.  Written as ``ROW_NUMBER() ... = 1`` that is a shuffle plus a sort of
 each key's rows in one task, so a key holding a third of the data lands in
 one task.  Here top-1 is an aggregate instead: ``max_by``/``min_by`` over a
 struct of the wanted columns, ordered by a struct of the order columns.  It
-combines map-side (one row per key per partition leaves the mapper), never
-sorts, and is therefore indifferent to hot keys.
-
-``row_number`` (needed only where a relation exposes the number itself) is
-computed per ``(key, bucket)`` of the order key, with a prefix sum of bucket
-counts added, so a hot key is numbered by many tasks too.
+combines map-side (one row per key per partition leaves the mapper), so a hot
+key is one row for each partition.  A struct buffer makes Spark sort each map
+partition by key first (a sort aggregate); finding the key's greatest order
+with a hash aggregate and joining the rows back was slower (README).
+
+``row_number`` and ``rank_desc`` (needed only where a relation exposes the
+number itself) work inside parts of a key that follow the order; a key of many
+rows has many parts, and prefix sums of their counts make the numbers whole.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from verilens.operators.spread import HEAVY_ROWS, KEY_ROWS, PART, same_keys, with_parts
+
 Cols = Sequence[str | Column]
 
 
@@ -27,10 +31,6 @@ def _cols(cs: Cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
-def _names(cs: Sequence[str]) -> list[str]:
-    return list(cs)
-
-
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Cols,
                    values: Sequence[str]) -> DataFrame:
     """One row per key: ``values`` of the row with the greatest ``order``
@@ -72,49 +72,46 @@ def top_rank_ties(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     return df.join(best, cond, "left_semi")
 
 
-def row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
-               out: str = "rn", descending: bool = False) -> DataFrame:
-    """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)`` without one
-    task per key.
+def _with_earlier_parts(numbered: DataFrame, parted: DataFrame, keys: list[str], local: str, out: str, descending: bool) -> DataFrame:
+    """``local`` (counted inside each part) plus the rows of the heavy key's parts before it.
+
+    Only heavy keys have more than one part: the prefix sums run over the counts of their parts."""
+    names = [f"_p{i}" for i in range(len(keys))]
+    counts = parted.where(F.col(KEY_ROWS).isNotNull()).groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], F.col(PART).alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*names).orderBy(F.col("_of").desc() if descending else F.col("_of")).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*names, "_of", F.sum("_n").over(before).alias("_before"))
+    joined = numbered.join(offsets, same_keys(numbered, offsets, dict(zip([*keys, PART], [*names, "_of"], strict=True))), "left")
+    return joined.withColumn(out, F.col(local) + F.coalesce("_before", F.lit(0))).drop(*names, "_of", "_before", local)
 
-    ``bucket`` must be monotone in ``order`` (e.g. ``id div 65536``).  Rows are
-    numbered inside each ``(key, bucket)`` and the counts of earlier buckets
-    of the same key are added.  The only full shuffle is the one on
-    ``(key, bucket)``; the count table is small.  ``order`` must be unique
-    within a key (add a tie-breaker) for the numbering to be deterministic.
-    """
-    keys = _names(keys)
-    b = df.withColumn("_bucket", bucket)
-    counts = b.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    w_keys = Window.partitionBy(*keys)
-    w_before = w_keys.orderBy(F.col("_bucket").desc() if descending else F.col("_bucket")) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_bucket",
-                            F.coalesce(F.sum("_n").over(w_before), F.lit(0)).alias("_offset"))
-    ordering = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
-    local = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(*ordering))
-    numbered = b.withColumn("_local", local)
-    return (numbered.join(offsets, [*keys, "_bucket"])
-            .withColumn(out, F.col("_offset") + F.col("_local"))
-            .drop("_bucket", "_local", "_offset"))
 
+def row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "rn", descending: bool = False,
+               from_the_end: str | None = None, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)`` without one task for each key.
 
-def id_bucket(c: str | Column, width: int = 1 << 16) -> Column:
-    """Monotone bucket of an integer order key."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.floor(col / width)
+    Rows are numbered inside the parts of their key (``operators.spread``) and the
+    rows of earlier parts are added.  ``from_the_end`` names a second number that
+    counts from the key's last row: rows of the key + 1 - number.  ``order`` must be
+    unique within a key (add a tie-breaker) for the numbers to be deterministic.
+    ``df`` is read three times, twice for keys and order only: store a costly one before."""
+    keys = list(keys)
+    parted = with_parts(df, keys, order[0], heavy_rows)
+    part = Window.partitionBy(*keys, PART)
+    ordering = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+    numbered = parted.withColumn("_local", F.row_number().over(part.orderBy(*ordering)))
+    if from_the_end:  # a key that isn't heavy is one part
+        numbered = numbered.withColumn("_all", F.coalesce(KEY_ROWS, F.count(F.lit(1)).over(part)))
+    numbered = _with_earlier_parts(numbered, parted, keys, "_local", out, descending)
+    if from_the_end:
+        numbered = numbered.withColumn(from_the_end, F.col("_all") + 1 - F.col(out)).drop("_all")
+    return numbered.drop(PART, KEY_ROWS)
 
 
-def rank_desc(df: DataFrame, keys: Sequence[str], order: str, out: str = "rank") -> DataFrame:
+def rank_desc(df: DataFrame, keys: Sequence[str], order: str, out: str = "rank", heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """``RANK() OVER (PARTITION BY keys ORDER BY order DESC)`` (NULLs last).
 
-    Computed on the (key, order value) counts, which are far fewer than the
-    rows, then joined back null-safely on (key, order value)."""
+    Equal values are in one part of their key, so a rank inside the part plus the
+    rows of the parts above it is the rank in the key."""
     keys = list(keys)
-    counts = df.groupBy(*keys, F.col(order).alias("_o")).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*keys).orderBy(F.col("_o").desc_nulls_last()) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    ranks = counts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_o",
-                          (F.coalesce(F.sum("_n").over(w), F.lit(0)) + 1).alias(out))
-    cond = [df[k] == ranks[f"_k_{k}"] for k in keys] + [df[order].eqNullSafe(ranks["_o"])]
-    return df.join(ranks, cond, "inner").drop(*[f"_k_{k}" for k in keys], "_o")
+    parted = with_parts(df, keys, order, heavy_rows)
+    local = F.rank().over(Window.partitionBy(*keys, PART).orderBy(F.col(order).desc_nulls_last()))
+    return _with_earlier_parts(parted.withColumn("_local", local), parted, keys, "_local", out, True).drop(PART, KEY_ROWS)

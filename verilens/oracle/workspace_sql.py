@@ -84,9 +84,10 @@ _KIND5 = "'task_response_' || " + _case("k % 6", D.RESPONSE_KINDS)
 
 WORKSPACE_CTES = f"""
 b AS (
-  SELECT l_orderkey AS k, l_linenumber AS n, min(l_partkey) AS p, min(l_suppkey) AS s,
-         min(l_shipdate) AS ts, min(l_quantity) AS q
-  FROM lineitem GROUP BY l_orderkey, l_linenumber
+  SELECT k, n, p, s, ts, q, (copy * {D.COPY_ID_BASE} + k) * 10 + n AS a FROM (
+    SELECT l_orderkey AS k, l_linenumber AS n, l_partkey AS p, l_suppkey AS s, l_shipdate AS ts, l_quantity AS q,
+           CAST(row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_shipdate, l_quantity) - 1 AS BIGINT) AS copy
+    FROM lineitem)
 ),
 users AS (
   SELECT CAST(c_custkey AS BIGINT) AS id,
@@ -95,8 +96,9 @@ users AS (
 ),
 projects AS (SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS title FROM nation),
 teams AS (
-  SELECT CAST(1 AS BIGINT) AS id, {_q(D.TEAM_SLUG)} AS slug, {_q(D.TEAM_SETTINGS_YAML)} AS settings
-  FROM region WHERE r_regionkey = 0
+  SELECT CAST(r_regionkey + 1 AS BIGINT) AS id, '{D.TEAM_SLUG}-' || {_v('r_regionkey + 1')} AS slug,
+         {_case(f'(r_regionkey % {len(D.TEAM_SETTINGS)})', D.TEAM_SETTINGS)} AS settings
+  FROM region
 ),
 medias AS (
   SELECT CAST(p_partkey AS BIGINT) AS id, {_case('p_partkey % 3', ['Claim', 'Link', 'UploadedImage'])} AS type,
@@ -108,7 +110,7 @@ bot_resources AS (SELECT CAST(s_suppkey AS BIGINT) AS id, s_name AS title FROM s
 project_medias AS (
   SELECT CAST(o_orderkey AS BIGINT) AS id, strftime(o_orderdate, '{FMT}') AS created_at,
          CAST(o_custkey AS BIGINT) AS user_id, CAST(o_orderkey // {D.ORDERS_PER_MEDIA} AS BIGINT) AS media_id,
-         CAST(1 AS BIGINT) AS team_id, CAST(o_orderkey % {D.PROJECT_MODULUS} AS BIGINT) AS project_id,
+         CAST(o_orderkey % {len(D.TEAM_SETTINGS)} + 1 AS BIGINT) AS team_id, CAST(o_orderkey % {D.PROJECT_MODULUS} AS BIGINT) AS project_id,
          CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS INTEGER) AS archived
   FROM orders
 ),
@@ -125,13 +127,13 @@ relationships AS (
 conv_keys AS (SELECT DISTINCT conv_id FROM conversations),
 platform_users AS (
   SELECT u + {D.SMOOCH_USER_ID_BASE} AS id, u, {_case('u % 3', D.PLATFORMS)} AS platform, u % 3 AS client
-  FROM (SELECT DISTINCT conv_id % 7 AS u FROM conversations)
+  FROM (SELECT DISTINCT conv_id // {D.CONVERSATIONS_PER_USER} AS u FROM conversations)
   UNION ALL
-  SELECT u + {D.SMOOCH_USER_ID_BASE + 100} AS id, u, {_q(D.SECOND_PLATFORM)} AS platform, 3 AS client
-  FROM (SELECT DISTINCT conv_id % 7 AS u FROM conversations) WHERE u = 0
+  SELECT u + {D.SECOND_USER_ID_BASE} AS id, u, {_q(D.SECOND_PLATFORM)} AS platform, 3 AS client
+  FROM (SELECT DISTINCT conv_id // {D.CONVERSATIONS_PER_USER} AS u FROM conversations) WHERE u % 5 = 0
 ),
 annotations AS (
-  SELECT CAST(k * 10 + n AS BIGINT) AS id,
+  SELECT CAST(a AS BIGINT) AS id,
          CASE WHEN n = 1 THEN 'verification_status' WHEN n = 2 THEN 'tag'
               WHEN n = 3 THEN 'comment' WHEN n = 4 THEN 'task' WHEN n = 5 THEN {_KIND5}
               WHEN n = 6 THEN {_case('k % 3', ['language', 'metadata', 'report_design'])}
@@ -172,37 +174,37 @@ dynamic_annotation_fields AS (
   SELECT CAST(a * 10 + j AS BIGINT) AS id, CAST(a AS BIGINT) AS annotation_id, annotation_type,
          field_name, field_type, value, value_json
   FROM (
-    SELECT k * 10 + n AS a, 0 AS j, 'verification_status' AS annotation_type,
+    SELECT a, 0 AS j, 'verification_status' AS annotation_type,
            'verification_status_status' AS field_name, 'select' AS field_type,
            '"' || {_case('p % 4', D.STATUS_IDS)} || '"' AS value, CAST(NULL AS VARCHAR) AS value_json
     FROM b WHERE n = 1
     UNION ALL
-    SELECT k * 10 + n, 1, 'verification_status', 'title', 'text', '"Title ' || {_v('k')} || '"', NULL
+    SELECT a, 1, 'verification_status', 'title', 'text', '"Title ' || {_v('k')} || '"', NULL
     FROM b WHERE n = 1 AND k % 2 = 0
     UNION ALL
-    SELECT k * 10 + n, 2, 'verification_status', 'content', 'text', '"Content for ' || {_v('k')} || '"', NULL
+    SELECT a, 2, 'verification_status', 'content', 'text', '"Content for ' || {_v('k')} || '"', NULL
     FROM b WHERE n = 1 AND k % 5 = 0
     UNION ALL
-    SELECT k * 10 + n, 0, {_KIND5}, 'response_' || {_case('k % 6', D.RESPONSE_KINDS)},
+    SELECT a, 0, {_KIND5}, 'response_' || {_case('k % 6', D.RESPONSE_KINDS)},
            {_case('k % 6', D.RESPONSE_FIELD_TYPES)}, {_RESPONSE_VALUE},
            CASE WHEN k % 12 = 0 THEN '"json answer ' || {_v('k')} || '"' END
     FROM b WHERE n = 5
     UNION ALL
-    SELECT k * 10 + n, 0, 'language', 'language', 'language', '"' || {_case('p % 4', D.LANGUAGES)} || '"', NULL
+    SELECT a, 0, 'language', 'language', 'language', '"' || {_case('p % 4', D.LANGUAGES)} || '"', NULL
     FROM b WHERE n = 6 AND k % 3 = 0
     UNION ALL
-    SELECT k * 10 + n, 0, 'metadata', 'metadata_value', 'json', NULL, {_metadata_json('Item')}
+    SELECT a, 0, 'metadata', 'metadata_value', 'json', NULL, {_metadata_json('Item')}
     FROM b WHERE n = 6 AND k % 3 = 1
     UNION ALL
-    SELECT k * 10 + n, 0, 'metrics', 'metrics_data', 'json', NULL,
+    SELECT a, 0, 'metrics', 'metrics_data', 'json', NULL,
            {_metrics_json(QI, f'{QI} % 10', f'{QI} * 2')}
     FROM b WHERE n = 7 AND k % 4 = 0
     UNION ALL
-    SELECT k * 10 + n, 1, 'metrics', 'metrics_data', 'json', NULL,
+    SELECT a, 1, 'metrics', 'metrics_data', 'json', NULL,
            {_metrics_json(f'{QI} % 9', f'{QI} + 5', f'{QI} * 3 % 11')}
     FROM b WHERE n = 7 AND k % 4 = 0
     UNION ALL
-    SELECT k * 10 + n, 0, 'metadata', 'metadata_value', 'json', NULL, {_metadata_json('Media')}
+    SELECT a, 0, 'metadata', 'metadata_value', 'json', NULL, {_metadata_json('Media')}
     FROM b WHERE n = 7 AND k % 4 = 1
     UNION ALL
     SELECT ck.conv_id + {D.MESSAGE_ID_BASE}, 0, 'smooch', 'smooch_data', 'json', NULL,
@@ -210,7 +212,7 @@ dynamic_annotation_fields AS (
              'source', json_object('type', {_case('ck.conv_id % 3', D.PLATFORMS)},
                                    'originalMessageId', 'm' || {_v('ck.conv_id')}),
              'project_id', CASE WHEN ck.conv_id % 4 <> 0 THEN ck.conv_id % {D.PROJECT_MODULUS} END,
-             'authorId', 'u' || {_v('ck.conv_id % 7')},
+             'authorId', 'u' || {_v(f'ck.conv_id // {D.CONVERSATIONS_PER_USER}')},
              'language', {_case('ck.conv_id % 3', ['en', 'es', 'pt'])},
              'text', ct.text) AS VARCHAR)
     FROM conv_keys ck LEFT JOIN conv_text ct ON ct.conv_id = ck.conv_id
@@ -242,11 +244,11 @@ dynamic_annotation_fields AS (
 versions AS (
   SELECT CAST(event_id AS BIGINT) AS id,
          CASE WHEN event_type = 'purchase' THEN 'DynamicAnnotation::Field' END AS item_type,
-         CASE WHEN event_type = 'purchase' THEN {_v(f'((event_id % {D.VERSION_ITEMS}) * 10 + 1) * 10')} END AS item_id,
+         CASE WHEN event_type = 'purchase' THEN {_v('(k * 10 + 1) * 10')} END AS item_id,
          CASE event_type WHEN 'view' THEN 'update_projectmedia'
               WHEN 'click' THEN CASE WHEN event_id % 2 = 0 THEN 'create_dynamic' ELSE 'update_dynamic' END
               WHEN 'purchase' THEN 'update_dynamicannotationfield' ELSE event_type END AS event_type,
-         CAST((event_id % {D.VERSION_ITEMS}) - (event_id % {D.VERSION_ITEMS}) % 3 AS BIGINT) AS associated_id,
+         CAST({ITEM} AS BIGINT) AS associated_id,
          'ProjectMedia' AS associated_type,
          CASE WHEN event_id % 50 = 0 THEN 'bot' ELSE {_v('user_id')} END AS whodunnit,
          CASE event_type
@@ -258,7 +260,7 @@ versions AS (
               WHEN 'purchase' THEN '{{"value":[null,"x"]}}'
               ELSE '{{}}' END AS object_changes,
          strftime(ts, '{FMT_US}') AS created_at
-  FROM events
+  FROM (SELECT *, CASE WHEN event_id % 2 = 1 THEN event_id * 3 // 2 ELSE event_id // 16 * 24 END AS k FROM events)
 )"""
 
 

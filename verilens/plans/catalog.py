@@ -23,7 +23,7 @@ from verilens.functions.timestamps import with_iso_timestamps
 from verilens.functions.yaml_text import with_comment_text, with_task_label
 from verilens.operators import topk
 from verilens.operators.statuses import label_statuses, status_vocabulary
-from verilens.operators.string_agg import ordered_concat, text_bucket
+from verilens.operators.string_agg import ordered_concat
 from verilens.operators.typing import typed
 from verilens.oracle import reports_sql as Q
 from verilens.plans import conversations as C
@@ -289,7 +289,7 @@ def _agg_max_cast(ws):
                                      "FROM part GROUP BY p_brand")
 def _agg_group_concat_sorted(spark, sf_dir):
     p = read_table(spark, sf_dir, "part")
-    return ordered_concat(p, ["p_brand"], "p_name", "p_name", ", ", "names", bucket=text_bucket("p_name"))
+    return ordered_concat(p, ["p_brand"], "p_name", "p_name", ", ", "names")
 
 
 @ws_query("agg_group_concat_by_id", "SELECT * FROM r_merged_comments")

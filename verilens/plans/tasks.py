@@ -19,7 +19,7 @@ from verilens.functions.strings import strip_ruby_header
 from verilens.functions.strings import contains_line
 from verilens.functions.yaml_text import with_comment_text, with_task_label
 from verilens.operators.lookup import left_join_skew_safe
-from verilens.operators.topk import first_per_key, id_bucket, row_number
+from verilens.operators.topk import first_per_key, row_number
 from verilens.operators.typing import typed
 
 Workspace = dict[str, DataFrame]
@@ -36,8 +36,7 @@ def _task_comment_rows(ws: Workspace) -> DataFrame:
 
 
 def task_comments(ws: Workspace) -> DataFrame:
-    c = row_number(_task_comment_rows(ws), ["task_id"], ["comment_id"], id_bucket("comment_id"),
-                   out="comment_number")
+    c = row_number(_task_comment_rows(ws), ["task_id"], ["comment_id"], out="comment_number")
     return c.select("task_id", "comment_number", "comment_yaml")
 
 
@@ -50,6 +49,15 @@ def task_or_metadata(data) -> F.Column:
     return F.when(contains_line(data, "fieldset: metadata"), F.lit("metadata")).otherwise(F.lit("task"))
 
 
+def _task_responses(ws: Workspace) -> DataFrame:
+    a = ws["annotations"]
+    return a.filter((a.annotated_type == "Task") & a.annotation_type.ilike("task_response_%")).select(
+        F.col("id").alias("response_id"), F.col("annotated_id").alias("r_task_id"),
+        F.col("annotator_type").alias("r_annotator_type"),
+        F.col("annotator_id").alias("r_annotator_id"), F.col("file").alias("r_file"),
+        F.col("created_at").alias("answered_at"))
+
+
 def answered_responses(ws: Workspace, asset_base_url: str = DEFAULT_ASSET_BASE_URL) -> DataFrame:
     """Task responses with their fields, formatted answers and answerer login.
 
@@ -57,13 +65,7 @@ def answered_responses(ws: Workspace, asset_base_url: str = DEFAULT_ASSET_BASE_U
     answers formatted) before the join to tasks: the formatting then runs in
     this subtree's stage, once per field, and not again when the final sort
     samples its input."""
-    a = ws["annotations"]
-    responses = a.filter((a.annotated_type == "Task")
-                         & a.annotation_type.ilike("task_response_%")).select(
-        F.col("id").alias("response_id"), F.col("annotated_id").alias("r_task_id"),
-        F.col("annotator_type").alias("r_annotator_type"),
-        F.col("annotator_id").alias("r_annotator_id"), F.col("file").alias("r_file"),
-        F.col("created_at").alias("answered_at"))
+    responses = _task_responses(ws)
     f = ws["dynamic_annotation_fields"].select(
         F.col("annotation_id").alias("f_annotation_id"), F.col("annotation_type").alias("f_type"),
         F.col("field_type").alias("f_field_type"),
@@ -79,28 +81,22 @@ def answered_responses(ws: Workspace, asset_base_url: str = DEFAULT_ASSET_BASE_U
 def task_rows(ws: Workspace, asset_base_url: str = DEFAULT_ASSET_BASE_URL,
               skew_safe: bool = True) -> DataFrame:
     """One row per task x response field.  ``skew_safe`` joins the answers as
-    inner join + anti join, so a task with a very large share of the
-    responses can be split by adaptive execution; it evaluates the task side
-    twice (labels are read once, separately).  ``skew_safe=False`` uses one
-    left join."""
+    one left join in which a task with a very large share of the responses is
+    dealt over salts; it counts the responses of each task before.
+    ``skew_safe=False`` uses a plain left join."""
     a = ws["annotations"]
     base = a.filter((a.annotated_type == "ProjectMedia") & (a.annotation_type == "task")).select(
         F.col("id").alias("task_id"), F.col("annotated_id").alias("item_id"),
         F.col("created_at").alias("task_created_at"),
         task_or_metadata(F.col("data")).alias("kind"), "data")
-    # labels once per task, as their own relation: the task side of the
-    # join below may be evaluated twice, the YAML reading is not
-    labels = with_task_label(base.select(F.col("task_id").alias("l_task_id"), "data"),
-                             "data", "label").drop("data")
-    tasks = base.drop("data")
+    tasks = with_task_label(base, "data", "label").drop("data")
     notes = first_task_comments(ws).select(F.col("task_id").alias("n_task_id"),
                                            F.col("comment").alias("first_note"))
     answers = answered_responses(ws, asset_base_url)
     if skew_safe:
-        df = left_join_skew_safe(tasks, answers, "task_id", "r_task_id")
+        df = left_join_skew_safe(tasks, answers, "task_id", "r_task_id", _task_responses(ws))
     else:
         df = tasks.join(answers, tasks.task_id == answers.r_task_id, "left")
-    df = df.join(labels, df.task_id == labels.l_task_id, "left")
     df = df.join(notes, df.task_id == notes.n_task_id, "left")
     return df.select(F.col("task_id"), F.col("item_id"), F.col("task_created_at").alias("created_at"),
                      F.col("kind").alias("task_or_metadata [dictionarytext]"), F.col("label"),

@@ -38,19 +38,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+#: Folders made for local sessions that name none, by application.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``, without a trailing slash.
 
     A cluster must name it: without the setting ``NoSharedFolder`` is raised,
     because a folder made here would exist on one machine only.  In local mode
-    (one JVM, as in tests) a scratch folder is made once per session."""
+    (one JVM, as in tests) a scratch folder is made once per application; the
+    setting itself can't be changed while a session runs."""
     current = spark.conf.get(CHECKPOINT_DIR, None)
     if not current:
-        master = spark.sparkContext.master
-        if not (master == "local" or master.startswith("local[")):
+        context = spark.sparkContext
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise NoSharedFolder(f"set {CHECKPOINT_DIR} to a folder shared by driver and executors")
-        current = tempfile.mkdtemp(prefix="verilens-shared-")
-        spark.conf.set(CHECKPOINT_DIR, current)
+        if context.applicationId not in _LOCAL:
+            _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="verilens-shared-")
+        current = _LOCAL[context.applicationId]
     return current.rstrip("/")
 
 

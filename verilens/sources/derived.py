@@ -7,18 +7,18 @@ data whose size grows with the scale factor.  The same derivation is written
 as SQL in ``verilens.oracle.workspace_sql`` for the DuckDB oracle; the two
 must stay in step (``tests/test_workspace.py`` compares them table by table).
 
-Conventions (``b`` = lineitem collapsed to one row per order line):
+Conventions (``b`` = lineitem, one row for each of its rows):
 
-* ``k`` order key, ``n`` line number, ``p``/``s``/``ts``/``q`` = min part,
-  supplier, ship date, quantity of that line (``(k, n)`` is not unique in
-  lineitem, hence the grouping).
+* ``k`` order key, ``n`` line number, ``p``/``s``/``ts``/``q`` = part,
+  supplier, ship date, quantity of that line, ``a`` its annotation id
+  (``(k, n)`` is not unique in lineitem, so equal ones are numbered).
 * ``item(k) = k - k % 3``: three orders share one item, so every item gets
   several annotations of a kind and "latest"/"first" choices matter.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from verilens.operators.string_agg import ordered_concat
@@ -27,17 +27,29 @@ from verilens.schemas import WORKSPACE_SCHEMAS
 # Fixed values of the derived workspace (shared with the SQL version).
 RUBY_HASH_HEADER = "--- !ruby/hash:ActiveSupport::HashWithIndifferentAccess"
 TEAM_SLUG = "demo"
-TEAM_SETTINGS_YAML = (
-    "--- !ruby/hash:ActiveSupport::HashWithIndifferentAccess\n"
-    ":media_verification_statuses: !ruby/hash:ActiveSupport::HashWithIndifferentAccess\n"
-    "  :statuses:\n"
-    "  - :id: undetermined\n"
-    "    :label: Unstarted\n"
-    "  - :id: in_progress\n"
-    "    :label: In Progress\n"
-    "  - :id: verified\n"
-    "    :label: Verified\n"
-)
+_HASH, _IVARS = "!ruby/hash:ActiveSupport::HashWithIndifferentAccess", "!ruby/hash-with-ivars:ActionController::Parameters"
+#: Settings of the teams, in forms that such settings are written in, and what they say.
+TEAM_SETTINGS = [
+    f"--- {_HASH}\n:media_verification_statuses: {_HASH}\n  :statuses:\n  - :id: undetermined\n    :label: Unstarted\n"
+    "  - :id: in_progress\n    :label: In Progress\n  - :id: verified\n    :label: Verified\n",
+    f'--- {_IVARS}\nelements:\n  media_verification_statuses: {_HASH}\n    statuses:\n    - id: undetermined\n      label: "\\u2753 Not \\"started\\""\n'
+    f"    - {_IVARS}\n      elements:\n        id: in_progress\n        label: 'It''s going on'\nivars:\n  :@permitted: false\n",
+    "---\r\nmedia_verification_statuses:\r\n  default: verified\r\n  statuses:\r\n    -\r\n      id: \"verified\"\r\n      label: Checked twice\r\n"
+    "        and found true # folded\r\n    - id: needs_review\r\n      label: \"caf\\xe9\\ttab\"\r\n",
+    "other: {statuses: [{id: verified, label: no}]}\nmedia_verification_statuses: {label: x, statuses: [{id: verified, label: 'right, [really]'},\n"
+    "  {\"id\": in_progress, \"label\": \"on the way\", locales: {en: {label: no}}}]}\n",
+    "media_verification_statuses:\n  statuses:\n  - {id: undetermined, label: flow}\n  - id: ~\n    label: no id\n  - id: verified\n    label: [no, text]\n"
+    "  - id: needs_review\n    label: first\n  - id: needs_review\n    label: second wins\n",
+]
+TEAM_VOCABULARY = [
+    (1, "undetermined", "Unstarted"), (1, "in_progress", "In Progress"), (1, "verified", "Verified"),
+    (2, "undetermined", '❓ Not "started"'), (2, "in_progress", "It's going on"),
+    (3, "verified", "Checked twice and found true"), (3, "needs_review", "café\ttab"),
+    (4, "verified", "right, [really]"), (4, "in_progress", "on the way"),
+    (5, "undetermined", "flow"), (5, "needs_review", "second wins"),
+]
+#: (team, entry) that can't be read.
+TEAM_UNREADABLE = [(5, 2), (5, 3)]
 STATUS_IDS = ["undetermined", "in_progress", "verified", "needs_review"]
 LANGUAGES = ["en", "es", "fr", "pt"]
 RESPONSE_KINDS = ["free_text", "single_choice", "multiple_choice",
@@ -49,11 +61,13 @@ REQUEST_TYPES = ['"default_requests"', '"resource_requests"', '"timeout_requests
 TZ_NAMES = ["GMT", "EAT", "EST"]
 TZ_OFFSETS = ["0", "+3", "-5"]
 MESSAGE_SEPARATOR = "\n⁣"
-MESSAGE_ID_BASE = 1_000_000_000
-SMOOCH_USER_ID_BASE = 1_100_000_000
+COPY_ID_BASE = 10 ** 12         # a repeated (order, line) counts as an order beyond all others
+MESSAGE_ID_BASE = 10 ** 15
+SMOOCH_USER_ID_BASE = 2 * 10 ** 15
+SECOND_USER_ID_BASE = 3 * 10 ** 15
+CONVERSATIONS_PER_USER = 3
 ORDERS_PER_MEDIA = 8    # project_medias.media_id = o_orderkey div 8 (a part key)
 PROJECT_MODULUS = 30    # project ids 25..29 have no project row
-VERSION_ITEMS = 300     # versions touch item(event_id % 300)
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 TS_FORMAT_US = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -92,11 +106,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``b``: one row per (order, line number)."""
-    return (read_table(spark, sf_dir, "lineitem")
-            .groupBy(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"))
-            .agg(F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("s"),
-                 F.min("l_shipdate").alias("ts"), F.min("l_quantity").alias("q")))
+    """``b``: one row for each row of lineitem, with a unique annotation id.
+
+    Rows of one (order, line number) are a handful; equal ones may be numbered in any order."""
+    b = read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("p"),
+        F.col("l_suppkey").alias("s"), F.col("l_shipdate").alias("ts"), F.col("l_quantity").alias("q"))
+    copy = F.row_number().over(Window.partitionBy("k", "n").orderBy("p", "s", "ts", "q")) - 1
+    return b.withColumn("a", (copy.cast("long") * COPY_ID_BASE + F.col("k")) * 10 + F.col("n"))
 
 
 def _conform(df: DataFrame, name: str) -> DataFrame:
@@ -123,10 +140,10 @@ def projects(spark, sf_dir):
 
 
 def teams(spark, sf_dir):
-    # One team; read from ``region`` (one row kept) so the table is Spark data.
-    r = read_table(spark, sf_dir, "region").filter(F.col("r_regionkey") == 0)
-    return _conform(r.select(F.lit(1).alias("id"), F.lit(TEAM_SLUG).alias("slug"),
-                             F.lit(TEAM_SETTINGS_YAML).alias("settings")), "teams")
+    r = read_table(spark, sf_dir, "region")
+    key = F.col("r_regionkey")
+    return _conform(r.select((key + 1).alias("id"), F.concat(F.lit(f"{TEAM_SLUG}-"), _s(key + 1)).alias("slug"),
+                             _pick(key % len(TEAM_SETTINGS), TEAM_SETTINGS).alias("settings")), "teams")
 
 
 def medias(spark, sf_dir):
@@ -158,7 +175,7 @@ def project_medias(spark, sf_dir):
         F.date_format("o_orderdate", TS_FORMAT).alias("created_at"),
         F.col("o_custkey").alias("user_id"),
         (ok / ORDERS_PER_MEDIA).cast("long").alias("media_id"),
-        F.lit(1).alias("team_id"),
+        (ok % len(TEAM_SETTINGS) + 1).alias("team_id"),
         (ok % PROJECT_MODULUS).alias("project_id"),
         F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("archived")),
         "project_medias")
@@ -195,7 +212,7 @@ def _line_annotation_branches(b: DataFrame) -> list[DataFrame]:
 
     def branch(cond, annotation_type, annotated_type, annotated_id, data=None, file=None):
         return b.filter(cond).select(
-            (k * 10 + n).alias("id"), F.lit(annotation_type).alias("annotation_type"),
+            F.col("a").alias("id"), F.lit(annotation_type).alias("annotation_type"),
             F.lit(annotated_type).alias("annotated_type"), annotated_id.alias("annotated_id"),
             F.lit("User").alias("annotator_type"), (p % 150).alias("annotator_id"),
             (data if data is not None else _null()).alias("data"),
@@ -254,12 +271,12 @@ def _message_annotations(spark, sf_dir) -> list[DataFrame]:
 
 def _platform_users(spark, sf_dir) -> DataFrame:
     """One row per platform account: (annotation id, u, platform, client key)."""
-    u = _conversation_keys(spark, sf_dir).select((F.col("conv_id") % 7).alias("u")).distinct()
+    u = _conversation_keys(spark, sf_dir).select(F.floor(F.col("conv_id") / CONVERSATIONS_PER_USER).alias("u")).distinct()
     first = u.select((F.col("u") + SMOOCH_USER_ID_BASE).alias("id"), "u",
                      _pick(F.col("u") % 3, PLATFORMS).alias("platform"),
                      (F.col("u") % 3).alias("client"))
-    second = (u.filter(F.col("u") == 0)
-              .select((F.col("u") + SMOOCH_USER_ID_BASE + 100).alias("id"), "u",
+    second = (u.filter(F.col("u") % 5 == 0)
+              .select((F.col("u") + SECOND_USER_ID_BASE).alias("id"), "u",
                       F.lit(SECOND_PLATFORM).alias("platform"), F.lit(3).alias("client")))
     return first.unionByName(second)
 
@@ -340,8 +357,7 @@ def _field(df: DataFrame, annotation_id, j: int, annotation_type, field_name: st
 
 
 def _line_fields(b: DataFrame) -> list[DataFrame]:
-    k, n, p, s, q, ts = (F.col(c) for c in ("k", "n", "p", "s", "q", "ts"))
-    a = k * 10 + n
+    k, n, p, s, q, ts, a = (F.col(c) for c in ("k", "n", "p", "s", "q", "ts", "a"))
     qi = q.cast("long")
     vs = "verification_status"
     out = [
@@ -381,13 +397,13 @@ def _message_fields(spark, sf_dir) -> list[DataFrame]:
     # user turns in turn order; two-level so a very long conversation is not
     # sorted by one task
     turns = ordered_concat(conv.filter(F.col("role") == "user"), ["conv_id"], "turn", "text",
-                           MESSAGE_SEPARATOR, "text", bucket=F.floor(F.col("turn") / 64))
+                           MESSAGE_SEPARATOR, "text")
     msgs = keys.join(turns, "conv_id", "left")
     data = F.to_json(F.struct(
         F.struct(_pick(c % 3, PLATFORMS).alias("type"),
                  F.concat(F.lit("m"), _s(c)).alias("originalMessageId")).alias("source"),
         F.when(c % 4 != 0, c % PROJECT_MODULUS).alias("project_id"),
-        F.concat(F.lit("u"), _s(c % 7)).alias("authorId"),
+        F.concat(F.lit("u"), _s(F.floor(c / CONVERSATIONS_PER_USER))).alias("authorId"),
         _pick(c % 3, ["en", "es", "pt"]).alias("language"),
         F.col("text").alias("text")), {"ignoreNullFields": "false"})
     return [
@@ -427,7 +443,8 @@ def dynamic_annotation_fields(spark, sf_dir):
 def versions(spark, sf_dir):
     e = read_table(spark, sf_dir, "events")
     eid, et = F.col("event_id"), F.col("event_type")
-    k = eid % VERSION_ITEMS
+    # odd events touch every item, even ones one in eight, eight at a time
+    k = F.when(eid % 2 == 1, F.floor(eid * 3 / 2)).otherwise(F.floor(eid / 16) * 24)
     published = F.when(eid % 3 != 0, F.lit("published")).otherwise(F.lit("paused"))
     # object_changes is JSON text: the YAML newline inside it is backslash + n
     report_change = F.concat(F.lit('{"data":[null,"--- !ruby/hash:X\\nstate: '), published,
