@@ -30,8 +30,10 @@ def variant_text(v: Column, path: str = "$") -> Column:
 
 
 def json_scalar(c: Column) -> Column:
-    """Decode a JSON document at its root (``json_extract(x, '$')``)."""
-    return variant_text(variant(c))
+    """Decode a JSON document at its root (``json_extract(x, '$')``); true and false are 1 and 0."""
+    text = variant_text(variant(c))
+    root = F.trim(c, F.lit(" \t\r\n"))
+    return F.when(root == "true", F.lit("1")).when(root == "false", F.lit("0")).otherwise(text)
 
 
 def json_path(c: Column, path: str) -> Column:
@@ -75,9 +77,6 @@ def _shortest_digits(x: Column) -> Column:
     return F.when(needs_search, found).otherwise(x)
 
 
-_JAVA_SCI = r"^(-?)(\d)(?:\.(\d+))?E(-?\d+)$"
-
-
 def _python_layout(c: Column) -> Column:
     def g(i):
         return F.regexp_extract(c, _JAVA_SCI, i)

@@ -18,6 +18,8 @@ Conventions (``b`` = lineitem, one row for each of its rows):
 
 from __future__ import annotations
 
+from collections.abc import Iterator, MutableMapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -477,6 +479,30 @@ BUILDERS = {
 }
 
 
-def derive_workspace(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All eleven workspace tables as lazily evaluated DataFrames."""
-    return {name: build(spark, sf_dir) for name, build in BUILDERS.items()}
+class DerivedTables(MutableMapping):
+    """The workspace's tables by name; a table is built when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir, self._tables = spark, sf_dir, dict.fromkeys(BUILDERS)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if self._tables[name] is None:
+            self._tables[name] = BUILDERS[name](self._spark, self._sf_dir)
+        return self._tables[name]
+
+    def __setitem__(self, name: str, table: DataFrame) -> None:
+        self._tables[name] = table
+
+    def __delitem__(self, name: str) -> None:
+        del self._tables[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._tables)
+
+    def __len__(self) -> int:
+        return len(self._tables)
+
+
+def derive_workspace(spark: SparkSession, sf_dir: str) -> DerivedTables:
+    """All eleven workspace tables as lazily built and evaluated DataFrames."""
+    return DerivedTables(spark, sf_dir)
