@@ -1,4 +1,6 @@
 """Operators 2, 3, 5 and 6: held-out accuracy, exact inverses, defined cases."""
+import time
+import re
 import random
 
 import numpy as np
@@ -144,8 +146,8 @@ def test_values_beside_other_groups_are_replaced(docs, value, text):
 
 def test_rows_search_all_that_the_patterns_match(docs):
     texts = ["my password: correcthorse x", "on 2024-01-15T10:00:00 and 2024-01-15", "card 4111 1111 1111 1111 123", "token : abcdefghij", "pay 4111 1111 1111 1111 12/27"]
-    got = pseudonyms.replaced_rows(docs(texts), count_col="n").orderBy("doc_id").collect()
-    names = pseudonyms.Pseudonyms()
+    got = pseudonyms.replaced_rows(docs(texts), b"k", count_col="n").orderBy("doc_id").collect()
+    names = pseudonyms.Pseudonyms(b"k")
     assert [r.n for r in got] == [1, 2, 1, 1, 1] and [(r.text, r.n) for r in got] == [names.replaced(t) for t in texts]
     assert got[1].text[3:13] == got[1].text[-10:] != "2024-01-15"
 
@@ -154,8 +156,8 @@ def test_rows_are_replaced_like_whole_texts(docs, odd):
     rng = random.Random(3)
     filler = "eine Ähnlichkeit or two \n plain words 7 x=1".split(" ")
     texts = [" ".join(rng.choice(PRIVATE + NOT_PRIVATE + filler * 2) for _ in range(rng.randint(0, 30))) for _ in range(300)]
-    got = pseudonyms.replaced_rows(docs(texts), count_col="n").orderBy("doc_id").collect()
-    names = pseudonyms.Pseudonyms()
+    got = pseudonyms.replaced_rows(docs(texts), b"k", count_col="n").orderBy("doc_id").collect()
+    names = pseudonyms.Pseudonyms(b"k")
     assert [(r.text, r.n) for r in got] == [names.replaced(t) for t in texts]
     kept = pseudonyms.replaced_rows(odd)
     assert kept.columns == odd.columns
@@ -164,3 +166,43 @@ def test_rows_are_replaced_like_whole_texts(docs, odd):
 
 def test_null_ids_are_not_held_out(spark):
     assert [r[0] for r in spark.createDataFrame([(None,)], "i long").select(in_fold(F.col("i"), 5, 0)).collect()] == [False]
+
+
+def test_long_words_are_read_once():
+    """Percent-encoded text of a megabyte, with and without an address behind it."""
+    names = pseudonyms.Pseudonyms(b"k")
+    for tail in ("", "@", "@example.org", "@example.org, x%41b.c@d.ee"):
+        word = "%41%2Fab" * 130_000 + tail
+        begin = time.perf_counter()
+        new, n = names.replaced(word)
+        assert time.perf_counter() - begin < 10 and len(new) == len(word)
+        assert n == tail.count(".org") + tail.count(".ee")
+
+
+def test_addresses_start_as_a_pattern_finds_them():
+    pattern = re.compile(r"(?<![\w.+-])[A-Za-z0-9][\w.%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}", re.A)
+    rng = random.Random(6)
+    for _ in range(20_000):
+        text = "".join(rng.choice("aZ9.%+-_@@ é") for _ in range(rng.randint(0, 25))) + rng.choice(("", "@x.yz", ".com"))
+        at = rng.randint(0, len(text))
+        m = pattern.search(text, at)
+        assert pseudonyms.next_mail(text, at) == (m.span() if m else None)
+
+
+def test_a_session_has_one_key(spark):
+    assert pseudonyms.session_key(spark) == pseudonyms.session_key(spark)
+    spark.conf.set(pseudonyms.KEY_SETTING, "own")
+    try:
+        assert pseudonyms.session_key(spark) == b"own"
+    finally:
+        spark.conf.unset(pseudonyms.KEY_SETTING)
+
+
+@pytest.mark.parametrize("repeated", [0, 17, 1234])
+def test_repeats_of_one_id_leave_the_sample_as_it_is(spark, repeated):
+    rows = spark.range(3000).select("id", F.lit("en").alias("lang"))
+    again = spark.range(5000).select(F.lit(repeated).cast("long").alias("id"), F.lit("en").alias("lang"))
+    got = {r.id for r in langid.sample_ids(rows.unionByName(again), 4000).collect()}
+    assert len(got) == 3000
+    some = {r.id for r in langid.sample_ids(rows.unionByName(again), 500).collect()}
+    assert some == {r.id for r in rows.orderBy(F.xxhash64("id"), "id").limit(500).collect()}

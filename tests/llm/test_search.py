@@ -193,3 +193,15 @@ def test_clean_rows_keep_their_columns(spark, odd, docs):
     bench = spark.createDataFrame([(1, ITEMS[1])], "item_id long, text string")
     kept = templates.clean_rows(odd.unionByName(docs([ITEMS[1]]).select("*", *[F.lit(None).cast(t).alias(c) for c, t in odd.dtypes[5:]])), bench)
     assert kept.columns == odd.columns and kept.count() == odd.count()
+
+
+SHORT = ["Who wrote Hamlet?", "What is 3 + 5?", "How many apples are left?", "12 34 56", "Hamlet", "誰が書いたか", "Is it 5 km, 6 km, 7 km, 8 km, 9 km or 10 km?"]
+
+
+def test_short_items_are_found_word_for_word(spark, docs):
+    items = spark.createDataFrame(list(enumerate(SHORT + ["", None, " .. "])), "item_id long, text string")
+    rows = docs([f"Something before. {x} And after it." for x in SHORT] + ["What is 4 + 5? Who wrote hamlets? 12 34 57", "Is it 5 km, 6 km, 7 km, 8 km, 9 km or 11 km?", None, ""])
+    got = {(r.doc_id, r.item_id) for r in templates.contaminated(rows, items).collect()}
+    own = {(k, k) for k in range(len(SHORT))}
+    # the one word "Hamlet" is in the first text too, and 13 words of the last item in another
+    assert got == own | {(0, 4), (8, 6)}

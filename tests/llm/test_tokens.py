@@ -2,6 +2,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -13,6 +14,7 @@ from tokenizers import Tokenizer
 
 from tests.llm.conftest import ODD_TEXTS
 from verilens.llm import bpe, dac, tokencount
+from verilens.session import stored
 from verilens.llm.queries import BYTE_BPE, BYTE_BPE_RANKS, QUERIES, WORD_BPE, bpe_digests
 
 ALPHABET = " \n\t\r\x0b\x1c\x85\xa0  ​　 'sstrevmll  aabcABCÉßñ漢ǅ٣½²0123456789.,!?-_<|>endoftext́🙂\x00İΣ"
@@ -143,3 +145,34 @@ def test_queries_read_whole_tables(spark):
     n = spark.read.parquet(f"{folder}/documents.parquet").count()
     for name in ("op4_token_ids", "op8_token_counts", "op9_bpe"):
         assert QUERIES[name](spark, folder).count() == n
+
+
+def test_many_edits_of_a_long_text_are_linear():
+    text = ("word and 12345 more of it, " * 220_000).encode()
+    edits = [{"start": 27 * k * 13 + 9, "length": 5, "replacement": "#"} for k in range(16_000)]
+    tree = tokencount.trees(pa.array([text.decode()]), BYTE_BPE_RANKS)[0]
+    begin = time.perf_counter()
+    after, _ = tokencount.edited(text, tree, edits, BYTE_BPE_RANKS)
+    assert time.perf_counter() - begin < 30
+    parts, at = [], 0
+    for e in edits:
+        parts += [text[at:e["start"]], b"#"]
+        at = e["start"] + e["length"]
+    assert after == b"".join([*parts, text[at:]])
+    assert tree.total == tokencount.trees(pa.array([after.decode()]), BYTE_BPE_RANKS)[0].total
+
+
+def test_kept_trees_take_edits_again_and_again(docs):
+    """Trees are stored with their texts; each round rereads them and encodes only around its edits."""
+    some = [t for t in texts(60, 5, 400) if len(t) < 1000] + ["so many words " * 200, "", None]
+    rows = stored(docs(some).select("doc_id", "text", tokencount.segment_trees(F.col("text"), BYTE_BPE_RANKS).alias("x")), "kept")
+    state = rows.select("doc_id", "text", F.col("x.n_tokens").alias("n"), F.col("x.tree").alias("tree"))
+    for letter in ("o", "a"):
+        places = F.transform(F.sequence(F.lit(0), F.length("text")), lambda i: F.when(F.substring("text", i + 1, 1) == letter, i))
+        ascii_only = F.octet_length("text") == F.length("text")
+        edits = F.transform(F.filter(places, lambda i: i.isNotNull()), lambda i: F.struct(i.alias("start"), F.lit(1).alias("length"), F.lit("0x").alias("replacement")))
+        new = state.select("doc_id", tokencount.recounted(F.col("text"), F.col("tree"), F.when(ascii_only, edits), BYTE_BPE_RANKS).alias("x"))
+        state = stored(new.select("doc_id", F.col("x.text_after").alias("text"), F.col("x.n_tokens_after").alias("n"), F.col("x.tree_after").alias("tree")), "edited")
+    checked = state.withColumn("y", tokencount.segment_trees(F.col("text"), BYTE_BPE_RANKS)).collect()
+    assert all(r.n == r.y.n_tokens for r in checked)
+    assert any("0x" in (r.text or "") for r in checked)

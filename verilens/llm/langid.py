@@ -37,7 +37,6 @@ from verilens.session import stored
 
 SAMPLE_DOCS = 4_000
 #: Ranges of the hash (2 to this power) by which a language's rows are counted.
-RANGE_BITS = 12
 BUCKETS = 1 << 13
 GRAMS = (1, 2, 3, 4)
 ROUNDS, RATE, L2 = 200, 0.05, 1e-5
@@ -105,17 +104,17 @@ def sample_ids(rows: DataFrame, most: int = SAMPLE_DOCS) -> DataFrame:
     """At most ``most`` distinct (id, lang), the languages in turn, by hash of the id.
 
     A window over a language would bring a third of all rows into one task, so
-    their ids are written once and counted by ranges of the hash (combined before
-    the shuffle) and only ranges that start within the first ``most`` rows of their
-    language are read.  More than ``most`` languages can't all be sampled: those
-    with the smallest hashes are taken, which also bounds the broadcast."""
-    hashed = stored(rows.select("lang", "id", F.xxhash64("id").alias("h")).withColumn("range", F.shiftright("h", 64 - RANGE_BITS)), "hashed")
-    earlier = Window.partitionBy("lang").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    read = (hashed.groupBy("lang", "range").agg(F.count("*").alias("n"), F.min("h").alias("least"))
-            .withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).where(F.col("before") < most)
-            .groupBy("lang").agg(F.max("range").alias("last"), F.min("least").alias("least"))
-            .orderBy("least", "lang").limit(most).select("lang", "last"))
-    near = hashed.join(F.broadcast(read), "lang").where(F.col("range") <= F.col("last")).select("lang", "id", "h").distinct()
+    repeats go first (combined before the shuffle), the ids of each language are
+    counted, and only hashes up to a limit that leaves about twice as many as
+    needed are read (fewer than ``most`` of them would take a hash that isn't uniform).  More
+    than ``most`` languages can't all be sampled: those with the smallest
+    hashes are taken, which also bounds the broadcast."""
+    ids = stored(rows.select("lang", "id").distinct().withColumn("h", F.xxhash64("id")), "sample-ids")
+    share = (2.0 * most + 200) / F.col("n")
+    limit = F.when(share >= 1, F.lit((1 << 63) - 1)).otherwise((share * float(1 << 64) - float(1 << 63)).cast("long"))
+    read = (ids.groupBy("lang").agg(F.count("*").alias("n"), F.min("h").alias("least")).orderBy("least", "lang").limit(most)
+            .select("lang", limit.alias("limit")))
+    near = ids.join(F.broadcast(read), "lang").where(F.col("h") <= F.col("limit")).select("lang", "id", "h")
     turn = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
     return near.withColumn("n", turn).orderBy("n", "h", "id", "lang").limit(most).select("id", "lang")
 

@@ -25,6 +25,7 @@ replaced alike; other columns are kept as they are; an empty table gives no rows
 
 from __future__ import annotations
 
+import secrets
 import re
 from collections.abc import Callable
 from datetime import date
@@ -34,14 +35,18 @@ from math import isqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from verilens.llm.textbatch import DIGIT, SPACE, Runs, as_strings, by_slice, flat
 
 ROUNDS = 10
-KEY = b"replace this key"
+#: Characters that are permuted as one number at most.
+LONGEST = 256
+#: The setting that names the key; without it a session makes its own, and its pseudonyms can't be inverted later.
+KEY_SETTING = "spark.verilens.pseudonym.key"
+_MADE: dict[str, bytes] = {}
 
 _MARK = DIGIT.copy()
 _MARK[[*b"@=:"]] = True
@@ -49,8 +54,7 @@ _MARK[[*b"@=:"]] = True
 BEFORE, AFTER = 2, 1
 
 _PATTERN = re.compile(r"""
-    (?P<email>(?<![\w.+-])[A-Za-z0-9][\w.%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})
-  | (?P<key>(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9]))
+    (?P<key>(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9]))
   | (?P<secret>(?:token|password|passwd|secret|api_?key)\s{0,2}[=:]\s{0,2}["']?(?P<value>[A-Za-z0-9]{8,}))
   | (?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
   | (?P<date>(?<![\w.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}[./]\d{2}[./]\d{4})(?:(?=[Tt]\d{2})|(?!\w|[./-]\d)))
@@ -61,6 +65,10 @@ _PATTERN = re.compile(r"""
             | (?<!\w)\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}(?!\w) | (?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-]))
 """, re.X | re.A)
 
+#: An address is found from its @, so that a long run of its characters is read once.
+_LOCAL_START = re.compile(r"(?<![\w.+-])[A-Za-z0-9]", re.A)
+_DOMAIN = re.compile(r"@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}", re.A)
+
 #: Characters of an IBAN by country.
 IBAN_LENGTHS = {x[:2]: int(x[2:]) for x in """AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18
     FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31
@@ -133,10 +141,13 @@ def _refilled(shape: str, values: str) -> str:
 class Pseudonyms:
     """Pseudonyms under one key; ``back`` restores the values instead."""
 
-    def __init__(self, key: bytes = KEY, back: bool = False):
+    def __init__(self, key: bytes, back: bool = False):
         self.key, self.back = key, back
         self.networks = lru_cache(maxsize=4096)(lambda kind, size: Feistel(key, kind, size))
-        self.value = lru_cache(maxsize=65536)(self._value)
+        self.cached = lru_cache(maxsize=65536)(self._value)
+
+    def value(self, kind: str, text: str) -> str | None:
+        return self.cached(kind, text) if len(text) <= LONGEST else self._value(kind, text)
 
     def _number(self, kind: str, size: int, x: int, valid: Callable[[int], bool] | None = None) -> int:
         network = self.networks(kind, size)
@@ -150,29 +161,33 @@ class Pseudonyms:
 
     def _classes(self, kind: str, text: str, hexadecimal: bool = False, valid: Callable[[str], bool] | None = None) -> str:
         """Letters to letters of their case and digits to digits (hexadecimal: any digit), other characters stay."""
-        alphabets = []
+        alphabets, hexadecimals = [], "0123456789abcdef" if text.lower() == text else "0123456789ABCDEF"
         for c in text:
             if hexadecimal:
-                alphabets.append("0123456789abcdef" if text.lower() == text else "0123456789ABCDEF")
+                alphabets.append(hexadecimals)
             elif c.isdigit():
                 alphabets.append("0123456789")
             elif c.isascii() and c.isalpha():
                 alphabets.append("abcdefghijklmnopqrstuvwxyz" if c.islower() else "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
             else:
                 alphabets.append(c)
-        size, x = 1, 0
-        for c, alphabet in zip(text, alphabets, strict=True):
-            size, x = size * len(alphabet), x * len(alphabet) + alphabet.index(c)
-
-        def spelled(number: int) -> str:
-            out = []
-            for alphabet in reversed(alphabets):
-                number, k = divmod(number, len(alphabet))
-                out.append(alphabet[k])
-            return "".join(reversed(out))
-
-        shape = "".join(a[0] for a in alphabets)
-        return spelled(self._number(f"{kind}/{shape}", size, x, valid and (lambda y: valid(spelled(y)))))
+        out = []
+        for at in range(0, len(text), LONGEST):  # longer values are permuted piece by piece
+            part = alphabets[at:at + LONGEST]
+            size, x = 1, 0
+            for c, alphabet in zip(text[at:at + LONGEST], part, strict=True):
+                size, x = size * len(alphabet), x * len(alphabet) + alphabet.index(c)
+
+            def spelled(number: int, part: list[str] = part) -> str:
+                letters = []
+                for alphabet in reversed(part):
+                    number, k = divmod(number, len(alphabet))
+                    letters.append(alphabet[k])
+                return "".join(reversed(letters))
+
+            shape = "".join(a[0] for a in part)
+            out.append(spelled(self._number(f"{kind}/{shape}", size, x, valid and (lambda y, spelled=spelled: valid(spelled(y))))))
+        return "".join(out)
 
     def _value(self, kind: str, text: str) -> str | None:
         """The pseudonym, or None for a value that fails its check."""
@@ -247,9 +262,15 @@ class Pseudonyms:
     def _first(self, text: str, at: int) -> tuple[int, int, str, int] | None:
         """(start, end, kind, start of the first match tried) of the first valid value from ``at`` on; the last is -1 if none failed."""
         tried = -1
-        while m := _PATTERN.search(text, at):
-            kind = m.lastgroup if m.lastgroup != "value" else "secret"
-            a, b = m.span("value" if kind == "secret" else 0)
+        while True:
+            m, mail = _PATTERN.search(text, at), next_mail(text, at)
+            if m is None and mail is None:
+                return None
+            if mail and (m is None or mail[0] <= m.start()):
+                kind, (a, b) = "email", mail
+            else:
+                kind = m.lastgroup if m.lastgroup != "value" else "secret"
+                a, b = m.span("value" if kind == "secret" else 0)
             ends = _ends(text, a, b, kind)
             for end in [b, *ends]:
                 if self.value(kind, text[a:end]) is not None:
@@ -259,7 +280,6 @@ class Pseudonyms:
             at = ends[0] if kind == "iban" and ends and text[a:a + 2] in IBAN_LENGTHS else text.find(" ", a, b) + 1 or b
             if kind == "iban" and IBAN_LENGTHS.get(text[a:a + 2]) == len(text[a:b].replace(" ", "")):
                 at = b
-        return None
 
     def replaced(self, text: str) -> tuple[str, int]:
         """The text with its values replaced, and their number."""
@@ -274,6 +294,25 @@ class Pseudonyms:
         return "".join([*pieces, text[at:]]), n
 
 
+def next_mail(text: str, at: int) -> tuple[int, int] | None:
+    """The span of the first e-mail address from ``at`` on."""
+    sign = text.find("@", at)
+    while sign >= 0:
+        low = sign
+        while low > at and (text[low - 1].isalnum() and text[low - 1].isascii() or text[low - 1] in "_.%+-"):
+            low -= 1
+        if (domain := _DOMAIN.match(text, sign)) and (start := _LOCAL_START.search(text, low, sign)):
+            return start.start(), domain.end()
+        sign = text.find("@", sign + 1)
+    return None
+
+
+def session_key(spark: SparkSession) -> bytes:
+    """The key in the session's ``KEY_SETTING``; without it a random one that lasts as long as the application."""
+    found = spark.conf.get(KEY_SETTING, None)
+    return found.encode() if found else _MADE.setdefault(spark.sparkContext.applicationId, secrets.token_bytes(32))
+
+
 def _ends(text: str, a: int, b: int, kind: str) -> list[int]:
     """The ends of groups inside text[a:b] that a shorter value may have, last first."""
     if kind not in ("card", "iban"):
@@ -334,7 +373,7 @@ def _texts(texts: pa.Array, names: Pseudonyms) -> pa.Array:
     return pa.StructArray.from_arrays([out, pa.array(count)], fields=list(_KIND))
 
 
-def pseudonymised(text: Column, key: bytes = KEY, back: bool = False) -> Column:
+def pseudonymised(text: Column, key: bytes, back: bool = False) -> Column:
     """struct(text, n_replaced) of each whole text; ``back`` inverts it under the same key."""
 
     @arrow_udf("text string, n_replaced int")
@@ -344,10 +383,10 @@ def pseudonymised(text: Column, key: bytes = KEY, back: bool = False) -> Column:
     return replaced(text)
 
 
-def replaced_rows(docs: DataFrame, key: bytes = KEY, text_col: str = "text", count_col: str | None = None) -> DataFrame:
+def replaced_rows(docs: DataFrame, key: bytes | None = None, text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """``docs`` with pseudonyms in its text column, and the number of values in ``count_col`` if that is given."""
     mark = "_".join(["pseudonyms", *docs.columns])  # a name that no column has
-    found = docs.withColumn(mark, pseudonymised(F.col(text_col), key))
+    found = docs.withColumn(mark, pseudonymised(F.col(text_col), key or session_key(docs.sparkSession)))
     new = F.when(F.col(f"`{text_col}`").isNotNull(), F.col(f"`{mark}`.text")).alias(text_col)
     rows = [new if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     return found.select(*rows, *([F.col(f"`{mark}`.n_replaced").alias(count_col)] if count_col else []))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verilens.llm import alignment, bpe, dac, embeddings, langid, pseudonyms, quality, simhash, substrings, templates, tokencount, toxicity, turns
+from verilens.session import stored
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -80,11 +81,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token counts of every document before and after its long numbers are blanked."""
-    text = F.col("text")
-    found = table(spark, sf_dir, "documents").select("doc_id", "text", tokencount.long_numbers(text).alias("edits"))
-    found = found.select("doc_id", "edits", tokencount.counted(text, BYTE_BPE_RANKS, F.col("edits")).alias("x"))
-    return found.select("doc_id", "x.n_tokens", F.coalesce(F.size("edits"), F.lit(0)).alias("n_edits"), "x.n_tokens_after", "x.bytes_again")
+    """Token counts of every document before and after its long numbers are blanked: trees are kept with their texts, reread and edited."""
+    kept = table(spark, sf_dir, "documents").select("doc_id", "text", tokencount.segment_trees(F.col("text"), BYTE_BPE_RANKS).alias("x"))
+    kept = stored(kept.select("doc_id", "text", "x.n_tokens", "x.tree"), "trees")
+    found = kept.withColumn("edits", tokencount.long_numbers(F.col("text")))
+    found = found.select("doc_id", "n_tokens", "edits", tokencount.recounted(F.col("text"), F.col("tree"), F.col("edits"), BYTE_BPE_RANKS).alias("x"))
+    return found.select("doc_id", "n_tokens", F.coalesce(F.size("edits"), F.lit(0)).alias("n_edits"), "x.n_tokens_after", "x.bytes_again")
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

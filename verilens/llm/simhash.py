@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from verilens.llm.components import components
+from verilens.llm.hotkeys import hot_keys, joined
 from verilens.llm.grouped import Forest, changes, dealt, whole_groups
 from verilens.llm.textbatch import as_strings
 from verilens.session import stored
@@ -169,13 +170,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row for each row of ``docs``: doc_id, fp (long), component (long; a
     fingerprint that names the component) and component_id, and the columns in ``keep``."""
     prints = stored(docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col), words_in_shingle).alias("fp"), *keep), "prints")
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
+    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("rows")), "fingerprints")
     linked = components(near_edges(nodes.select("fp"), radius, most_members)).select(F.col("node").alias("fp"), "root")
-    linked = linked.join(nodes, "fp")
+    linked = linked.join(nodes.drop("rows"), "fp")
     linked = linked.join(linked.groupBy("root").agg(F.min("least_id").alias("linked_id")), "root").select("fp", "root", "linked_id")
     every = (nodes.join(linked, "fp", "left")
              .select("fp", F.coalesce("root", "fp").alias("component"), F.when(F.col("root").isNull(), F.col("least_id")).otherwise(F.col("linked_id")).alias("component_id")))
-    return prints.join(every, "fp", "left").select("doc_id", "fp", "component", "component_id", *prints.columns[2:])
+    # the rows of a fingerprint that very many texts share are dealt over salts
+    found = joined(prints.withColumn("_row", F.monotonically_increasing_id()), every, ["fp"], hot_keys(nodes, ["fp"], "rows"), ["_row"])
+    return found.select("doc_id", "fp", "component", "component_id", *prints.columns[2:])
 
 
 def hex_digits(fp: Column) -> Column:

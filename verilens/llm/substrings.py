@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from verilens.llm.fmindex import repeated_windows
-from verilens.llm.grouped import changes, dealt, whole_groups
+from verilens.llm.grouped import changes, whole_groups
 from verilens.llm.hotkeys import hot_keys, joined
 from verilens.llm.templates import document_key
 from verilens.llm.textbatch import SPACE, Runs, as_strings, flat, mixed, segment_sum, slices, spread, whole_hashes
@@ -49,7 +49,7 @@ from verilens.session import stored
 
 WINDOW, GRAM = 35, 8
 #: Distinct stretches of one minimizer that go to one shard at most, and words at which a shard's index is built.
-MOST_STRETCHES, SHARD_WORDS = 2048, 1 << 18
+MOST_STRETCHES, SHARD_WORDS = 512, 1 << 17
 #: Bits of a Bloom filter at most; it is sent to every task.
 MOST_BITS = 1 << 27
 #: Parts in which a filter is built.
@@ -293,7 +293,9 @@ def repeated_masks(docs: DataFrame, most_stretches: int = MOST_STRETCHES) -> tup
     by_m = stored(words.groupBy("m").agg(F.count("*").alias("stretches")), "stretch-counts")
     words = joined(words, by_m, ["m"], hot_keys(by_m, ["m"], "stretches"), ["d"])
     few = words.where(F.col("stretches").between(2, most_stretches)).select("m", "d", "n", "words", F.length("words").alias("size"))
-    masks = dealt(few, "m").mapInArrow(_searched, "m long, d long, n long, mask long")
+    # so few bytes for so much work that adaptive execution would put them into a few tasks
+    shards = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    masks = few.repartition(shards, "m").sortWithinPartitions("m").mapInArrow(_searched, "m long, d long, n long, mask long")
     many = words.where(F.col("stretches") > most_stretches).select("m", "d", "n", "words")
     same = groups.where(~F.col("mixed")).select("m", "d", "n", F.lit(-1).cast("long").alias("mask"))
     masks = stored(masks.unionByName(_of_hot_minimizers(many)).unionByName(same), "repeated")

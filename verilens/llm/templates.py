@@ -40,6 +40,8 @@ from verilens.session import stored
 
 WINDOW, LITERALS, COVERED = 8, 4, 13
 MOST_BITS = 1 << 24
+#: The forms of a text: typed placeholders with and without names; its own words, for items without a window in the others.
+NAMED, LITERAL, VERBATIM = range(3)
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
 #: Words that are units after a number.
 UNITS = frozenset("""mm cm m km inch inches foot feet ft yard yards mile miles mg g kg lb lbs pound pounds ounce ounces oz ton tons tonnes ml l liter
@@ -53,7 +55,7 @@ _STOP = _END.copy()  # of the literal template
 _STOP[0x0A] = False
 _POINT[[*b".,"]] = True
 
-WINDOWS = "array<struct<literal:boolean,h:long,template:string,pos:int,n:int,slots:array<string>>>"
+WINDOWS = "array<struct<form:int,h:long,template:string,pos:int,n:int,slots:array<string>>>"
 
 
 class _Words:
@@ -83,8 +85,9 @@ class _Template:
     """The template words of a batch: ``values`` (hash of each), ``slot`` (0 plain,
     1 number, 2 name, 3 unit), ``off`` (by text), and where their bytes lie."""
 
-    def __init__(self, words: _Words, literal: bool):
-        self.raw, self.literal, runs = words.raw, literal, words.runs
+    def __init__(self, words: _Words, form: int):
+        self.raw, self.form, runs = words.raw, form, words.runs
+        literal = form != NAMED
         code, starts, ends = runs.codes, runs.starts, runs.ends
         n = len(code)
         begins = np.zeros(n, bool)
@@ -93,7 +96,7 @@ class _Template:
         ended = np.concatenate([[0], np.cumsum((_STOP if literal else _END)[self.raw])])
         fresh = begins.copy()
         fresh[1:] |= ended[starts[1:]] > ended[ends[:-1]]
-        is_number = words.number[code]
+        is_number = words.number[code] & (form != VERBATIM)
         is_name = np.zeros(n, bool) if literal else words.capital[code] & ~fresh
         is_unit = np.zeros(n, bool)
         is_unit[1:] = words.unit[code[1:]] & is_number[:-1] & ~fresh[1:]
@@ -117,11 +120,11 @@ class _Template:
         count = len(self.values) - n + 1
         if count < 1:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        h = np.full(count, n + 2 * WINDOW * self.literal, np.uint64)
+        h = np.full(count, n + 2 * WINDOW * self.form, np.uint64)
         for k in range(n):
             h = h * np.uint64(0x100000001B3) + self.values[k:k + count]
         plain = np.concatenate([[0], np.cumsum(self.slot == 0)])
-        ok = plain[n:] - plain[:-n] >= LITERALS
+        ok = plain[n:] - plain[:-n] >= (min(LITERALS, n) if self.form == VERBATIM else LITERALS)
         end = np.repeat(self.off[1:], np.diff(self.off))[:count]
         ok &= np.arange(count) + n <= end
         at = np.flatnonzero(ok)
@@ -135,14 +138,14 @@ class _Template:
             if kind:
                 slots.append(" ".join(text.split()))
             words.append((text, NUMBER, NAME, UNIT)[kind])
-        return {"literal": self.literal, "h": h, "template": " ".join(words), "pos": at - first, "n": n, "slots": slots}
+        return {"form": self.form, "h": h, "template": " ".join(words), "pos": at - first, "n": n, "slots": slots}
 
 
-_KIND = pa.list_(pa.struct([("literal", pa.bool_()), ("h", pa.int64()), ("template", pa.string()), ("pos", pa.int32()), ("n", pa.int32()), ("slots", pa.list_(pa.string()))]))
+_KIND = pa.list_(pa.struct([("form", pa.int32()), ("h", pa.int64()), ("template", pa.string()), ("pos", pa.int32()), ("n", pa.int32()), ("slots", pa.list_(pa.string()))]))
 
 
 def item_windows(text: Column) -> Column:
-    """struct(n_words, windows) of both forms of each benchmark item, the literal one second."""
+    """struct(n_words, windows) of the forms of each benchmark item, in their order."""
     kind = pa.list_(pa.struct([("n_words", pa.int32()), ("windows", _KIND)]))
 
     @arrow_udf(f"array<struct<n_words:int,windows:{WINDOWS}>>")
@@ -151,7 +154,9 @@ def item_windows(text: Column) -> Column:
         for part in slices(as_strings(texts)):
             for one in (part.slice(i, 1) for i in range(len(part))):
                 words, forms = _Words(one), []
-                for t in (_Template(words, literal) for literal in (False, True)):
+                for t in (_Template(words, form) for form in (NAMED, LITERAL, VERBATIM)):
+                    if t.form == VERBATIM and any(f["windows"] for f in forms):
+                        continue
                     n = min(WINDOW, len(t.values))
                     at, h = t.windows(n) if n else ((), ())
                     forms.append({"n_words": len(t.values), "windows": [t.row(a, n, x, 0) for a, x in zip(at, np.asarray(h, np.uint64).view(np.int64).tolist(), strict=True)]})
@@ -161,7 +166,7 @@ def item_windows(text: Column) -> Column:
     return found(text)
 
 
-def document_windows(text: Column, bits: np.ndarray, lengths: list[int]) -> Column:
+def document_windows(text: Column, bits: np.ndarray, lengths: dict[int, list[int]]) -> Column:
     """The windows of each whole text that pass the filter ``bits`` (packed, little-endian)."""
 
     @arrow_udf(WINDOWS)
@@ -171,9 +176,9 @@ def document_windows(text: Column, bits: np.ndarray, lengths: list[int]) -> Colu
         for part in slices(as_strings(texts)):
             words = _Words(part)
             rows: list[list[dict]] = [[] for _ in range(len(part))]
-            for literal in (False, True):
-                t = _Template(words, literal)
-                for n in lengths:
+            for form, sizes in lengths.items():
+                t = _Template(words, form)
+                for n in sizes:
                     at, h = t.windows(n)
                     hit = table[h & mask]
                     hit[hit] = table[(h[hit] >> np.uint64(32)) & mask]
@@ -245,11 +250,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     items = benchmark.select(F.col(item_col).alias("item_id"), item_windows(F.col(item_text_col)).alias("forms")).select(
         "item_id", F.col("forms")[0]["n_words"].alias("n_named"), F.explode("forms").alias("x")).select(
         "item_id", "n_named", "x.n_words", F.explode("x.windows").alias("w")).select(
-        "item_id", "n_named", F.col("n_words").alias("n_item_words"), F.col("w.literal").alias("literal"), F.col("w.h").alias("h"), F.col("w.template").alias("template"),
+        "item_id", "n_named", F.col("n_words").alias("n_item_words"), F.col("w.form").alias("form"), F.col("w.h").alias("h"), F.col("w.template").alias("template"),
         F.col("w.pos").alias("item_pos"), F.col("w.n").alias("n"), F.col("w.slots").alias("item_slots"))
     items = stored(items, "item-windows")
-    sizes = items.groupBy("n").agg(F.approx_count_distinct("h").alias("windows")).collect()  # WINDOW rows at most
-    lengths, windows = sorted(r["n"] for r in sizes), sum(r["windows"] for r in sizes)
+    sizes = items.groupBy("form", "n").agg(F.approx_count_distinct("h").alias("windows")).collect()  # WINDOW rows for each form at most
+    windows = sum(r["windows"] for r in sizes)
+    lengths = {form: sorted(r["n"] for r in sizes if r["form"] == form) for form in (NAMED, LITERAL, VERBATIM)}
     size = min(MOST_BITS, max(1 << 16, 1 << (32 * max(1, windows) - 1).bit_length()))
     places = F.array(F.col("h").bitwiseAND(F.lit(size - 1)), F.shiftrightunsigned("h", 32).bitwiseAND(F.lit(size - 1)))
     words = (items.select(F.explode(places).alias("p")).groupBy(F.shiftright("p", 6).alias("word"))
@@ -260,14 +266,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     keys = document_key(F.col(id_col), F.col(text_col))
     found = docs.select(F.col(id_col).alias("doc_id"), *keys, document_windows(F.col(text_col), bits.view(np.uint8), lengths).alias("windows"))
     found = stored(found.where(F.size("windows") > 0), "candidate-windows").select("doc_id", "k1", "k2", F.explode("windows").alias("w"))
-    found = found.select("doc_id", "k1", "k2", F.col("w.literal").alias("literal"), F.col("w.template").alias("template"), F.col("w.pos").alias("pos"), F.col("w.slots").alias("slots")).distinct()
+    found = found.select("doc_id", "k1", "k2", F.col("w.form").alias("form"), F.col("w.template").alias("template"), F.col("w.pos").alias("pos"), F.col("w.slots").alias("slots")).distinct()
     at = F.filter(F.transform(F.split("template", " "), lambda w, k: F.when(w.isin(NUMBER, NAME, UNIT), F.col("item_pos") + k)), lambda k: k.isNotNull())
     pairs = F.arrays_zip(at.alias("place"), F.col("item_slots").alias("a"), F.col("slots").alias("b"))
-    matches = found.join(items, ["literal", "template"]).select(
-        "doc_id", "k1", "k2", "item_id", "n_named", "literal", "n_item_words", (F.col("pos") - F.col("item_pos")).alias("diagonal"),
+    matches = found.join(items, ["form", "template"]).select(
+        "doc_id", "k1", "k2", "item_id", "n_named", "form", "n_item_words", (F.col("pos") - F.col("item_pos")).alias("diagonal"),
         F.sequence("item_pos", F.col("item_pos") + F.col("n") - 1).alias("places"), pairs.cast(_PAIR).alias("pairs"))
     document = ["doc_id", "k1", "k2", "item_id", "n_named"]
-    form = ["literal", "n_item_words"]
+    form = ["form", "n_item_words"]
     by_diagonal = matches.groupBy(*document, *form, "diagonal").agg(
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"),
         F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
@@ -279,9 +285,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     changed = F.exists("pairs", lambda p: p["a"] != p["b"])
     consistent = by_diagonal.select(*document, *form, F.coalesce("kept.places", "places").alias("places"), F.coalesce("kept.changed", changed).alias("changed"))
 
-    def covering(literal: bool) -> Column:
+    def covering(number: int) -> Column:
         """struct(n_item_words, n_covered, reparameterised) of the rows of one form."""
-        own = F.col("literal") == literal
+        own = F.col("form") == number
         return F.struct(F.max(F.when(own, F.col("n_item_words"))).alias("n_item_words"),
                         F.size(F.array_distinct(F.flatten(F.collect_set(F.when(own, F.col("places")))))).alias("n_covered"),
                         F.max(F.when(own, F.col("changed"))).alias("reparameterised"))
@@ -289,8 +295,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     def contained(x: str) -> Column:
         return F.col(f"{x}.n_covered") >= F.least(F.lit(covered), F.col(f"{x}.n_item_words"))
 
-    by_form = consistent.groupBy(*document).agg(covering(False).alias("named"), covering(True).alias("literal"))
-    return (by_form.withColumn("x", F.when(contained("named"), F.col("named")).when(contained("literal"), F.col("literal")))
+    by_form = consistent.groupBy(*document).agg(covering(NAMED).alias("named"), covering(LITERAL).alias("literal"), covering(VERBATIM).alias("verbatim"))
+    return (by_form.withColumn("x", F.when(contained("named"), F.col("named")).when(contained("literal"), F.col("literal")).when(contained("verbatim"), F.col("verbatim")))
             .where(F.col("x").isNotNull()).select("k1", "k2", "doc_id", "item_id", "x.n_item_words", "x.n_covered", "x.reparameterised"))
 
 

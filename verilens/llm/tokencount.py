@@ -117,8 +117,12 @@ def trees(texts: pa.Array, path: str) -> list[SegmentTree]:
 
 
 def edited(text: bytes, tree: SegmentTree, edits: list[dict], path: str) -> tuple[bytes, int]:
-    """The text after the edits, and the bytes that were encoded again; the tree is brought up to date."""
+    """The text after the edits, and the bytes that were encoded again; the tree is brought up to date.
+
+    Regions follow each other: ``done`` is what lies before the last one, ``held`` the
+    last region as it is now, ``at`` its place in the new text; the text from ``rest`` on is untouched."""
     again, shift = 0, 0
+    done, held, at, rest = [], b"", 0, 0
     k = 0
     while k < len(edits):
         start = edits[k]["start"] + shift
@@ -126,30 +130,73 @@ def edited(text: bytes, tree: SegmentTree, edits: list[dict], path: str) -> tupl
         hi = min(tree.leaves - 1, tree.leaf_at(start + max(0, edits[k]["length"] - 1)) + 1)
         left = tree.start(lo)
         right = tree.start(hi) + int(tree.nodes[tree.size + hi, 1])
-        region, old_shift = text[left:right], shift
+        between = max(0, left - at - len(held))
+        done += [held[:left - at], text[rest:rest + between]]
+        held, at, rest = held[left - at:], left, rest + between
+        missing = max(0, right - left - len(held))
+        region, rest, old_shift = held + text[rest:rest + missing], rest + missing, shift
         # every edit that ends inside this region, with a leaf to spare, is made at once
         inner = tree.start(hi) if hi < tree.leaves - 1 else right + 1
-        while k < len(edits) and (at := edits[k]["start"] + old_shift) < inner and at + edits[k]["length"] <= (inner if inner <= right else right):
-            put = (edits[k]["replacement"] or "").encode()
-            a = edits[k]["start"] + shift - left
-            region = region[:a] + put + region[a + edits[k]["length"]:]
+        pieces, copied = [], 0
+        while k < len(edits) and (where := edits[k]["start"] + old_shift) < inner and where + edits[k]["length"] <= (inner if inner <= right else right):
+            put, a = (edits[k]["replacement"] or "").encode(), where - left
+            pieces += [region[copied:a], put]
+            copied = a + edits[k]["length"]
             shift += len(put) - edits[k]["length"]
             k += 1
-        text = text[:left] + region + text[right:]
-        again += len(region)
-        counts, starts, off = _counter(path).by_piece(pa.array([region.decode()], pa.string()))
+        held = b"".join([*pieces, region[copied:]])
+        again += len(held)
+        counts, starts, off = _counter(path).by_piece(pa.array([held.decode()], pa.string()))
         lengths = np.diff(np.append(starts, off[-1]))
         for n, leaf in enumerate(range(lo, hi + 1)):
             a = n * LEAF_PIECES
             b = a + LEAF_PIECES if leaf < hi else len(counts)  # the last leaf takes the rest
             tree.put(leaf, int(counts[a:b].sum()), int(lengths[a:b].sum()))
-    return text, again
+    return b"".join([*done, held, text[rest:]]), again
 
 
-def counted(text: Column, path: str, edits: Column | None = None) -> Column:
-    """struct(n_tokens, tree, n_tokens_after, text_after, bytes_again) of each text and its list of edits.
+_EDITS = "array<struct<start:int,length:int,replacement:string>>"
+
+
+def segment_trees(text: Column, path: str) -> Column:
+    """struct(n_tokens, tree) of each text; ``tree`` has the tokens and bytes of its leaves, to be kept and edited later."""
+    kind = pa.struct([("n_tokens", pa.int64()), ("tree", pa.list_(pa.int64()))])
+
+    def built(part: pa.Array) -> pa.Array:
+        rows = trees(part, path)
+        return pa.array([{"n_tokens": t.total, "tree": t.nodes[t.size:t.size + t.leaves].ravel().tolist()} for t in rows], kind)
+
+    @arrow_udf("n_tokens long, tree array<long>")
+    def trees_of(texts: pa.Array) -> pa.Array:
+        parts = [built(part) for part in slices(as_strings(texts), SLICE_BYTES)]
+        return pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+    return trees_of(text)
+
 
-    ``tree``: the tokens of every node of the segment tree before the edits."""
+def recounted(text: Column, tree: Column, edits: Column, path: str) -> Column:
+    """struct(n_tokens_after, tree_after, text_after, bytes_again) of each text whose kept tree takes its edits (null: none).
+
+    Only the regions that edits touch are encoded; a null tree is that of an empty text."""
+    kind = pa.struct([("n_tokens_after", pa.int64()), ("tree_after", pa.list_(pa.int64())), ("text_after", pa.string()), ("bytes_again", pa.int64())])
+
+    def one(value: pa.Scalar, kept: list | None, todo: list | None) -> dict:
+        sums = np.array(kept or [], np.int64).reshape(-1, 2)
+        tree = SegmentTree(sums[:, 0], sums[:, 1])
+        if not todo:
+            return {"n_tokens_after": tree.total, "tree_after": kept, "text_after": value.as_py(), "bytes_again": 0}
+        after, again = edited(value.as_buffer().to_pybytes(), tree, todo, path)
+        return {"n_tokens_after": tree.total, "tree_after": tree.nodes[tree.size:tree.size + tree.leaves].ravel().tolist(), "text_after": after.decode(), "bytes_again": again}
+
+    @arrow_udf("n_tokens_after long, tree_after array<long>, text_after string, bytes_again long")
+    def counts(texts: pa.Array, kept: pa.Array, todo: pa.Array) -> pa.Array:
+        return pa.array([one(v, t, e) for v, t, e in zip(as_strings(texts), kept.to_pylist(), todo.to_pylist(), strict=True)], kind)
+
+    return counts(text, tree, edits.cast(_EDITS))
+
+
+def counted(text: Column, path: str, edits: Column | None = None) -> Column:
+    """struct(n_tokens, tree, n_tokens_after, text_after, bytes_again): ``segment_trees`` and ``recounted`` of each text in one pass."""
     kind = pa.struct([("n_tokens", pa.int64()), ("tree", pa.list_(pa.int32())), ("n_tokens_after", pa.int64()),
                       ("text_after", pa.string()), ("bytes_again", pa.int64())])
 
@@ -174,8 +221,7 @@ def counted(text: Column, path: str, edits: Column | None = None) -> Column:
         return pa.concat_arrays(out) if out else pa.array([], kind)
 
     from pyspark.sql import functions as F
-    kinds = "array<struct<start:int,length:int,replacement:string>>"
-    return counts(text, F.lit(None).cast(kinds) if edits is None else edits.cast(kinds))
+    return counts(text, F.lit(None).cast(_EDITS) if edits is None else edits.cast(_EDITS))
 
 
 def long_numbers(text: Column, digits: int = LONG_NUMBER, replacement: str = "#") -> Column:
