@@ -49,7 +49,7 @@ from verilens.session import stored
 
 WINDOW, GRAM = 35, 8
 #: Distinct stretches of one minimizer that go to one shard at most, and words at which a shard's index is built.
-MOST_STRETCHES, SHARD_WORDS = 512, 1 << 17
+MOST_STRETCHES, SHARD_WORDS = 2048, 1 << 17
 #: Bits of a Bloom filter at most; it is sent to every task.
 MOST_BITS = 1 << 27
 #: Parts in which a filter is built.
