@@ -10,7 +10,7 @@ date or area code) are walked over.  The number doesn't depend on separators or
 document, so equal values get equal pseudonyms everywhere; the key and the kind
 are all that goes in, and ``restored`` inverts it.
 
-A run of groups that fails its check is tried again without its last groups, and
+A run of groups that fails its test is tried again without its last groups, and
 then from its next group on.  A value found that way gets its usual pseudonym,
 unless that would make the longer run valid: then it walks on along its cycle,
 so that the text can still be restored.
@@ -19,7 +19,7 @@ Only words with a digit, ``@``, ``=`` or ``:`` and their neighbours are searched
 patterns; the rest of the text is copied.
 
 Defined results: null stays null, empty stays empty; values that fail their
-check (Luhn, mod 97, calendar) are no personal data and stay; repeated rows are
+test (Luhn, mod 97, calendar) are no personal data and stay; repeated rows are
 replaced alike; other columns are kept as they are; an empty table gives no rows.
 """
 
@@ -124,7 +124,7 @@ def _luhn(digits: str) -> int:
     return sum(sum(divmod(int(d) * (1 + k % 2), 10)) for k, d in enumerate(reversed(digits)))
 
 
-def _check_digit(digits: str) -> str:
+def _last_digit(digits: str) -> str:
     return str(-_luhn(digits + "0") % 10)
 
 
@@ -190,7 +190,7 @@ class Pseudonyms:
         return "".join(out)
 
     def _value(self, kind: str, text: str) -> str | None:
-        """The pseudonym, or None for a value that fails its check."""
+        """The pseudonym, or None for a value that fails its test."""
         digits = "".join(c for c in text if c.isdigit())
         if kind == "email":
             local, _, domain = text.rpartition("@")
@@ -215,7 +215,7 @@ class Pseudonyms:
             if _luhn(digits) % 10 or len(set(digits)) == 1:
                 return None
             body = digits[0] + self._digits("card", digits[1:-1], lambda x: len({digits[0], *x}) > 1)
-            return _refilled(text, body + _check_digit(body))
+            return _refilled(text, body + _last_digit(body))
         country = re.match(r"\+(\d{1,3})(?=\D)", text)
         skip = len(country[1]) if country else 0
         if not 8 <= len(digits) <= 15 or len(digits) - skip < 6:
