@@ -52,7 +52,7 @@ def missing_columns(ws: dict[str, DataFrame]) -> dict[str, list[str]]:
 
 
 def validate_workspace(ws: dict[str, DataFrame]) -> DataFrame:
-    """Raise ``WorkspaceError`` listing missing tables/columns (schema check on
+    """Raise ``WorkspaceError`` listing missing tables/columns (schemas compared on
     the driver, no data read); otherwise return one row per non-empty table
     (a one-row probe of each, as cheap as ``SELECT 1 ... LIMIT 1``)."""
     problems = missing_columns(ws)
