@@ -106,16 +106,26 @@ def python_number(c: Column) -> Column:
     return _bind(c, lambda x: _bind(_shortest_digits(x), _python_layout))
 
 
+def minified(text: Column) -> Column:
+    """A JSON document without the blanks between its tokens; keys keep their
+    order, numbers their digits and strings their spelling.
+
+    The pattern's repetitions are possessive, so a long string costs no stack."""
+    return F.regexp_replace(text, r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|[ \t\r\n]++', "$1")
+
+
 def python_text(v: Column, text: Column | None = None) -> Column:
     """How a decoded JSON value prints in Python (``str(json.loads(x))``) for
     scalars: strings as is, ``True``/``False``/``None``, numbers as Python
     prints them (when the JSON ``text`` is given).  Objects and arrays print
-    as minified JSON (documented deviation)."""
+    as minified JSON (documented deviation), as the ``text`` writes them."""
     t = variant_type(v)
     number = (python_number(F.get_json_object(text, "$")) if text is not None
               else variant_text(v))
-    return (F.when(t == "BOOLEAN", F.when(F.variant_get(v, "$", "boolean"), F.lit("True"))
-                   .otherwise(F.lit("False")))
+    nested = F.lit(False) if text is None else t.rlike(r"^(OBJECT|ARRAY)")
+    return (F.when(nested, minified(text) if text is not None else F.lit(None))
+            .when(t == "BOOLEAN", F.when(F.variant_get(v, "$", "boolean"), F.lit("True"))
+                  .otherwise(F.lit("False")))
             .when(t == "VOID", F.lit("None"))
             .when(t.rlike(r"^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL.*|DOUBLE|FLOAT)$"), number)
             .otherwise(variant_text(v)))

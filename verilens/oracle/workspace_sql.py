@@ -187,7 +187,8 @@ dynamic_annotation_fields AS (
     UNION ALL
     SELECT a, 0, {_KIND5}, 'response_' || {_case('k % 6', D.RESPONSE_KINDS)},
            {_case('k % 6', D.RESPONSE_FIELD_TYPES)}, {_RESPONSE_VALUE},
-           CASE WHEN k % 12 = 0 THEN '"json answer ' || {_v('k')} || '"' END
+           CASE WHEN k % 24 = 0 THEN '{{"type": "te\\"  xt", "k": ' || {_v('k')} || ', "aa": 1.50, "b": [ ]}}'
+                WHEN k % 12 = 0 THEN '"json answer ' || {_v('k')} || '"' END
     FROM b WHERE n = 5
     UNION ALL
     SELECT a, 0, 'language', 'language', 'language', '"' || {_case('p % 4', D.LANGUAGES)} || '"', NULL

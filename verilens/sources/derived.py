@@ -371,7 +371,9 @@ def _line_fields(b: DataFrame) -> list[DataFrame]:
                _jstr(F.concat(F.lit("Content for "), _s(k)))),
     ]
     for i, kind in enumerate(RESPONSE_KINDS):
-        value_json = (F.when(k % 12 == 0, _jstr(F.concat(F.lit("json answer "), _s(k))))
+        # every other JSON answer is an object whose keys aren't sorted, with blanks and a trailing zero
+        value_json = (F.when(k % 24 == 0, F.concat(F.lit('{"type": "te\\\"  xt", "k": '), _s(k), F.lit(', "aa": 1.50, "b": [ ]}')))
+                      .when(k % 12 == 0, _jstr(F.concat(F.lit("json answer "), _s(k))))
                       if kind == "free_text" else None)
         out.append(_field(b.filter((n == 5) & (k % 6 == i)), a, 0, f"task_response_{kind}",
                           f"response_{kind}", RESPONSE_FIELD_TYPES[i],
