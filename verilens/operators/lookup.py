@@ -38,7 +38,7 @@ def resolve_roles(df: DataFrame, key: str, roles: dict[str, str], dim: DataFrame
 
 
 def left_join_skew_safe(left: DataFrame, right: DataFrame, left_key: str, right_key: str, right_keys: DataFrame | None = None,
-                        heavy_rows: int = SALT_ROWS) -> DataFrame:
+                        heavy_rows: int = SALT_ROWS, deal_by: str | None = None) -> DataFrame:
     """``left LEFT JOIN right ON left_key = right_key`` for a right side whose
     keys may be very unevenly spread (one key holding a large share of rows).
 
@@ -48,7 +48,10 @@ def left_join_skew_safe(left: DataFrame, right: DataFrame, left_key: str, right_
     left rows are repeated once for each salt; every other key has salt 0.  A
     heavy key has matches, so its repeated rows that meet none are dropped.  The left
     side is read once; the right once for its rows and once for its keys, which
-    ``right_keys`` (one column ``right_key``) may give more cheaply, also roughly."""
+    ``right_keys`` (one column ``right_key``) may give more cheaply, also roughly.
+
+    A row's salt is a hash of ``deal_by``, an id of the right rows (dropped from the
+    result), or of all its columns, so a task that runs again deals alike.  Without an id, equal rows meet in one task."""
     keys = right.select(right_key) if right_keys is None else right_keys.select(right_key)
     heavy = keys.groupBy(F.col(right_key).alias("_hk")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > heavy_rows)
     heavy = heavy.select("_hk", F.ceil(F.col("_n") / heavy_rows).cast("int").alias("_salts"))
@@ -56,6 +59,7 @@ def left_join_skew_safe(left: DataFrame, right: DataFrame, left_key: str, right_
     repeated = left.withColumn("_lk", F.col(left_key)).join(heavy, F.col("_lk") == F.col("_hk"), "left").withColumn("_heavy", F.col("_salts").isNotNull())
     repeated = repeated.withColumn("_salt", F.explode(F.sequence(F.lit(0), more - 1))).drop("_hk", "_salts")
     dealt = right.withColumn("_rk", F.col(right_key)).join(heavy, F.col("_rk") == F.col("_hk"), "left")
-    dealt = dealt.withColumn("_deal", F.floor(F.rand(7) * more).cast("int")).drop("_hk", "_salts")
+    row = F.xxhash64(*([deal_by] if deal_by else right.columns))
+    dealt = dealt.withColumn("_deal", F.pmod(row, more).cast("int")).drop("_hk", "_salts", *([deal_by] if deal_by else []))
     joined = repeated.join(dealt, (F.col("_lk") == F.col("_rk")) & (F.col("_salt") == F.col("_deal")), "left")
     return joined.where(~F.col("_heavy") | F.col("_rk").isNotNull()).drop("_heavy", "_salt", "_deal", "_lk", "_rk")

@@ -67,7 +67,7 @@ def answered_responses(ws: Workspace, asset_base_url: str = DEFAULT_ASSET_BASE_U
     samples its input."""
     responses = _task_responses(ws)
     f = ws["dynamic_annotation_fields"].select(
-        F.col("annotation_id").alias("f_annotation_id"), F.col("annotation_type").alias("f_type"),
+        F.col("id").alias("f_id"), F.col("annotation_id").alias("f_annotation_id"), F.col("annotation_type").alias("f_type"),
         F.col("field_type").alias("f_field_type"),
         value_source(F.col("value"), F.col("value_json")).alias("f_value"))
     users = ws["users"].select(F.col("id").alias("u_id"), F.col("login").alias("answered_by"))
@@ -75,7 +75,7 @@ def answered_responses(ws: Workspace, asset_base_url: str = DEFAULT_ASSET_BASE_U
     df = df.join(users, (df.r_annotator_type == "User") & (df.r_annotator_id == users.u_id), "left")
     df = with_answer(df, "answer", "f_annotation_id", "f_type", "f_field_type", "f_value", "r_file",
                      asset_base_url)
-    return df.select("r_task_id", "answer", "answered_by", "answered_at")
+    return df.select("r_task_id", F.xxhash64("response_id", "f_id").alias("r_deal"), "answer", "answered_by", "answered_at")
 
 
 def task_rows(ws: Workspace, asset_base_url: str = DEFAULT_ASSET_BASE_URL,
@@ -94,7 +94,7 @@ def task_rows(ws: Workspace, asset_base_url: str = DEFAULT_ASSET_BASE_URL,
                                            F.col("comment").alias("first_note"))
     answers = answered_responses(ws, asset_base_url)
     if skew_safe:
-        df = left_join_skew_safe(tasks, answers, "task_id", "r_task_id", _task_responses(ws))
+        df = left_join_skew_safe(tasks, answers, "task_id", "r_task_id", _task_responses(ws), deal_by="r_deal")
     else:
         df = tasks.join(answers, tasks.task_id == answers.r_task_id, "left")
     df = df.join(notes, df.task_id == notes.n_task_id, "left")
