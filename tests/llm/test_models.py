@@ -64,6 +64,28 @@ def test_a_pair_weighs_more_than_its_parts():
     assert ((m.logits(doc, term, len(x)) > 0) == y).mean() > 0.95
 
 
+def test_terms_that_are_neutral_alone_are_learned_as_a_pair(spark, docs, labels):
+    rng = random.Random(7)
+    filler = [f"{a}{b}ne" for a in "bdfgklmnprst" for b in ("ari", "olu", "emi", "usa")]
+    rows = []
+    for k in range(3000):
+        a, b = k % 2, k // 2 % 2
+        words = rng.sample(filler, 12) + ["zorbig"] * a + ["quillop"] * b
+        rng.shuffle(words)
+        rows.append((" ".join(words), int(a == b)))  # both or neither: each word alone is as frequent in both classes
+    got = toxicity.predictions(docs([t for t, _ in rows]), labels([(k, None, y) for k, (_, y) in enumerate(rows)])).where("held_out").collect()
+    assert len(got) > 300 and sum(r.predicted == rows[r.doc_id][1] for r in got) >= 0.97 * len(got)
+
+
+def test_machine_equals_the_sum_over_pairs():
+    rng = np.random.default_rng(3)
+    m = toxicity.Machine(np.arange(6), 0.3, rng.normal(size=6), rng.normal(size=(6, 4)))
+    x = rng.integers(0, 2, (50, 6))
+    x[0] = 0
+    want = [0.3 + sum(m.weights[i] for i in at) + sum(m.factors[i] @ m.factors[j] for i in at for j in at if i < j) for at in map(np.flatnonzero, x)]
+    assert np.allclose(m.logits(*np.nonzero(x), len(x)), want)
+
+
 def test_codewords_are_apart():
     for n in (2, 3, 4, 5, 12):
         words = langid.codewords(n)

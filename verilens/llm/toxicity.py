@@ -3,13 +3,15 @@
 Terms of a document: its distinct words in lower case and their prefixes of 3
 to 6 bytes, hashed.  Terms whose document frequency differs clearly between the
 classes are selected by a count over the sample (pre-aggregated before its
-shuffle).  The machine adds to the linear weights the products of latent
+shuffle).  Terms that are neutral alone but come together more often in one
+class are selected too: by the joint frequencies of the commonest neutral terms.
+The machine adds to the linear weights the products of latent
 vectors for every pair of terms that occur together, so that a pair (an insult
 and the mention of a group) may weigh more than its parts.  All sums run over
 words, so a batch costs one pass over its distinct words.
 
 Fit: on a bounded sample of labelled documents (``labelled.SAMPLE_DOCS``, a
-parameter) on the driver: at most ``MOST_TERMS`` columns.  Scoring reads whole
+parameter) on the driver: at most ``MOST_TERMS`` + ``MOST_PAIRED`` columns, and joint frequencies of ``MOST_COMMON`` terms.  Scoring reads whole
 texts of all documents on the executors.
 
 Defined results: null and empty texts score the bias; an unlabelled or one-class
@@ -39,6 +41,9 @@ MOST_TERMS = 768
 LEAST_DOCS = 3
 #: Standard errors by which a term's document frequency must differ between the classes.
 LEAST_Z = 4.0
+#: Commonest neutral terms whose pairs are tried, documents that such a term and pair are in at least,
+#: standard errors by which a pair's frequency must differ (there are two million pairs), and terms taken from pairs at most.
+MOST_COMMON, LEAST_COMMON, PAIR_Z, MOST_PAIRED = 2_048, 10, 7.0, 256
 FACTORS, ROUNDS, RATE, L2 = 4, 250, 0.05, 1e-4
 
 
@@ -128,9 +133,20 @@ def fit(sample: DataFrame, most_terms: int = MOST_TERMS) -> Machine:
     p0, p1 = F.col("n0") / n0, F.col("n1") / n1
     every = (F.col("n0") + F.col("n1")) / (n0 + n1)
     z = F.abs(p1 - p0) / F.sqrt(every * (1 - every) * (1 / n0 + 1 / n1) + F.lit(1e-12))
-    top = (counted.where(F.col("n0") + F.col("n1") >= LEAST_DOCS).select("bucket", z.alias("z")).where(F.col("z") >= LEAST_Z)
-           .orderBy(F.desc("z"), "bucket").limit(most_terms).collect())
-    buckets = np.array(sorted(r["bucket"] for r in top), np.int64)
+    counted = stored(counted.where(F.col("n0") + F.col("n1") >= LEAST_DOCS).select("bucket", (F.col("n0") + F.col("n1")).alias("n"), z.alias("z")), "toxic-terms")
+    top = counted.where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "bucket").limit(most_terms).collect()
+    neutral = counted.where((F.col("z") < LEAST_Z) & (F.col("n") >= LEAST_COMMON)).orderBy(F.desc("n"), "bucket").limit(MOST_COMMON).collect()
+    common = np.array(sorted(r["bucket"] for r in neutral), np.int64)
+    paired = common[paired_terms(*_term_lists(sample, common), len(common))]
+    buckets = np.sort(np.concatenate([np.array([r["bucket"] for r in top], np.int64), paired]))
+    off, terms_of, label = _term_lists(sample, buckets)
+    x = np.zeros((len(label), len(buckets)), np.float32)
+    x[np.repeat(np.arange(len(label)), np.diff(off)), terms_of] = 1
+    return trained(x, label.astype(np.float32), buckets, prior)
+
+
+def _term_lists(sample: DataFrame, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(offsets, terms, labels) of the sample's documents; a term is a place in ``buckets``.  Bounded: the sample's documents by the buckets."""
     chosen = _table(buckets)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,12 +159,32 @@ def fit(sample: DataFrame, most_terms: int = MOST_TERMS) -> Machine:
                 yield pa.RecordBatch.from_arrays([lists, label.slice(at, len(part)).cast(pa.int32())], names=["terms", "label"])
                 at += len(part)
 
-    rows = sample.mapInArrow(pairs, "terms array<int>, label int").toArrow()  # bounded: the sample's documents by the selected terms
-    x = np.zeros((rows.num_rows, len(buckets)), np.float32)
+    rows = sample.mapInArrow(pairs, "terms array<int>, label int").toArrow()
     lists = rows.column("terms").combine_chunks()
-    off = lists.offsets.to_numpy()
-    x[np.repeat(np.arange(len(off) - 1), np.diff(off)), lists.flatten().to_numpy()] = 1
-    return trained(x, rows.column("label").to_numpy().astype(np.float32), buckets, prior)
+    return lists.offsets.to_numpy(), lists.flatten().to_numpy(), rows.column("label").to_numpy()
+
+
+def paired_terms(off: np.ndarray, terms_of: np.ndarray, label: np.ndarray, n: int) -> np.ndarray:
+    """The terms of the pairs whose joint document frequency differs most between the classes, ``MOST_PAIRED`` of ``n`` at most."""
+    both = np.zeros((2, n, n), np.float32)
+    for c in (0, 1):
+        docs = np.flatnonzero(label == c)
+        for some in np.array_split(docs, len(docs) // 1000 + 1):
+            x = np.zeros((len(some), n), np.float32)
+            for row, d in enumerate(some):
+                x[row, terms_of[off[d]:off[d + 1]]] = 1
+            both[c] += x.T @ x
+    n0, n1 = max(1, (label == 0).sum()), max(1, (label == 1).sum())
+    every = both.sum(axis=0)
+    share = every / (n0 + n1)
+    z = np.abs(both[1] / n1 - both[0] / n0) / np.sqrt(share * (1 - share) * (1 / n0 + 1 / n1) + 1e-12)
+    z[np.tril_indices(n)] = 0
+    z[every < LEAST_COMMON] = 0
+    a, b = np.nonzero(z >= PAIR_Z)
+    best = np.lexsort((b, a, -z[a, b]))
+    of_pairs = np.stack([a[best], b[best]], axis=1).ravel()
+    _, first = np.unique(of_pairs, return_index=True)
+    return np.sort(of_pairs[np.sort(first)[:MOST_PAIRED]])
 
 
 def trained(x: np.ndarray, y: np.ndarray, buckets: np.ndarray, bias: float) -> Machine:
