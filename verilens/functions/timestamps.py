@@ -12,6 +12,9 @@ offsets are applied, so the result is UTC wall time.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -92,9 +95,15 @@ def _from_parts(parts: Column) -> Column:
     return F.when(valid, ts)
 
 
-def iso_from_parts(c: Column, parts: Column) -> Column:
+@lru_cache(maxsize=64)
+def _from_named_parts(name: str, jvm: int) -> Column:
+    """The expression over a column of that name; it has hundreds of nodes, each built by a call into the JVM ``jvm``."""
+    return _from_parts(F.col(name))
+
+
+def iso_from_parts(c: Column, parts: str) -> Column:
     return (F.when(c.rlike(FAST_PATTERN), c.try_cast("timestamp_ntz"))
-            .when(parts.isNotNull(), _from_parts(parts))
+            .when(F.col(parts).isNotNull(), _from_named_parts(parts, id(SparkContext._gateway)))
             .cast("timestamp_ntz"))
 
 
@@ -117,6 +126,6 @@ def with_iso_timestamps(df, columns: dict[str, str]):
                               for out, src in columns.items()])
     keep = [c for c in df.columns if c not in columns]
     final = [F.col(f"`{c}`") for c in keep] + [
-        iso_from_parts(F.col(f"`{src}`"), F.col(tmp[out])).alias(out) for out, src in columns.items()]
+        iso_from_parts(F.col(f"`{src}`"), tmp[out]).alias(out) for out, src in columns.items()]
     order = [c for c in df.columns] + [o for o in columns if o not in df.columns]
     return staged.select(*final).select(*[F.col(f"`{c}`") for c in order])
