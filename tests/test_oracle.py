@@ -12,7 +12,7 @@ from sizes import SF_SMALL
 from oracle_util import compare, duck
 from verilens.plans import catalog
 
-KEYS = ["items", "tasks", "conversations", "cte_statuses", "cte_useful_edges",
+KEYS = ["items", "tasks", "conversations", "rejects", "cte_statuses", "cte_useful_edges",
         "cte_status_changes", "cte_merged_comments", "cte_tag_strings", "cte_users_platform",
         "agg_pivot_fields", "fmt_answer", "yaml_status_vocab", "lookup_status_label",
         "win_first_and_last", "win_rank_ties", "agg_group_concat_sorted", "cast_prefix_int",

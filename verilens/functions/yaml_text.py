@@ -163,11 +163,15 @@ def comment_text(comment_yaml: Column) -> Column:
     return F.when(simple, value).when(hard, _comment_text_udf(F.when(hard, comment_yaml)))
 
 
+def with_unreadable_comment(df, col: str, out: str):
+    """``df`` plus ``out``: true where the comment text is NULL although the document names one."""
+    named = F.coalesce(F.col(col).rlike(r"(?m)^text:[ \t]*[^ \t\n~]"), F.lit(False))
+    return with_comment_text(df, col, "__text").withColumn(out, F.col("__text").isNull() & named).drop("__text")
+
+
 def unreadable_comments(df, col: str):
     """Rows of ``df`` whose comment text is NULL although the document names one."""
-    c = F.col(col)
-    return with_comment_text(df, col, "__text").filter(
-        F.col("__text").isNull() & c.rlike(r"(?m)^text:[ \t]*[^ \t\n~]")).drop("__text")
+    return with_unreadable_comment(df, col, "__unreadable").filter("__unreadable").drop("__unreadable")
 
 
 # ----------------------------------------------------- DataFrame operators

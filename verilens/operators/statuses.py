@@ -220,10 +220,16 @@ def _other_lists(teams: DataFrame) -> DataFrame:
     return lost.selectExpr("team_id", "0 AS pos", f"if(list0 IS NOT NULL, {_written('list0')}, {_written('section0')}) AS entry")
 
 
+def listed_statuses(teams: DataFrame) -> DataFrame:
+    """(team_id, pos, entry, readable) of every listed status; pos 0 is a whole section or list of another form, never readable."""
+    read = _read(teams).selectExpr("team_id", "pos", f"{_written('entry')} AS entry",
+                                   "status_id IS NOT NULL AND status_label IS NOT NULL AS readable")
+    return read.unionByName(_other_lists(teams).withColumn("readable", F.lit(False)))
+
+
 def unreadable_statuses(teams: DataFrame) -> DataFrame:
     """(team_id, pos, entry) of listed statuses whose id or label can't be read; pos 0 is a whole section or list of another form."""
-    read = _read(teams).where(F.col("status_id").isNull() | F.col("status_label").isNull())
-    return read.selectExpr("team_id", "pos", f"{_written('entry')} AS entry").unionByName(_other_lists(teams))
+    return listed_statuses(teams).where("NOT readable").drop("readable")
 
 
 def label_statuses(df: DataFrame, vocabulary: DataFrame, team_col: str, status_col: str) -> DataFrame:

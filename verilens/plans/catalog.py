@@ -29,7 +29,8 @@ from verilens.oracle import reports_sql as Q
 from verilens.plans import conversations as C
 from verilens.plans import items as I
 from verilens.plans import tasks as T
-from verilens.sources.derived import derive_workspace, read_table
+from verilens.plans.reports import report
+from verilens.sources.derived import TEAM_LISTED, TEAM_SETTINGS, TEAM_UNREADABLE, derive_workspace, read_table
 from verilens.sources.workspace import validate_workspace, write_report
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -658,18 +659,35 @@ _cte("cte_outcomes", "r_outcomes", C.outcomes)
 
 @ws_query("items", "SELECT * FROM r_items ORDER BY item_id DESC")
 def _items(ws):
-    return I.items(ws)
+    return report(ws, "items")
 
 
 @ws_query("tasks", "SELECT * FROM r_tasks ORDER BY item_id DESC, task_or_metadata, label NULLS FIRST")
 def _tasks(ws):
-    return T.tasks(ws)
+    return report(ws, "tasks")
 
 
 @ws_query("conversations", "SELECT * EXCLUDE (annotation_id, project_id, annotated_type, resource_id) "
                            "FROM r_conversations ORDER BY created_at DESC, annotation_id DESC")
 def _conversations(ws):
-    return C.conversations(ws)
+    return report(ws, "conversations")
+
+
+# the derived comments all hold one plain line; the constants state what the derived settings list
+@ws_query("rejects", f"""
+  SELECT source, detail, COUNT(*) AS n_values, COUNT(*) FILTER (rejected) AS n_rejected FROM (
+    SELECT 'dynamic_annotation_fields.value' AS source, field_name AS detail, NOT json_valid(value) AS rejected
+    FROM dynamic_annotation_fields WHERE value IS NOT NULL
+    UNION ALL SELECT 'versions.object_changes', item_type, NOT json_valid(object_changes)
+    FROM versions WHERE object_changes IS NOT NULL
+    UNION ALL SELECT 'annotations.data', annotated_type, NOT contains(data, chr(10) || 'text: note ')
+    FROM annotations WHERE annotation_type = 'comment' AND data IS NOT NULL
+    UNION ALL SELECT 'teams.settings', CAST(id AS VARCHAR),
+      list_contains({[list(u) for u in TEAM_UNREADABLE]}, [form, unnest(generate_series(1, {TEAM_LISTED}[form]))])
+    FROM (SELECT id, (id - 1) % {len(TEAM_SETTINGS)} + 1 AS form FROM teams))
+  GROUP BY ALL ORDER BY source, detail""")
+def _rejects(ws):
+    return report(ws, "rejects")
 
 
 def queries() -> dict[str, Builder]:

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame
 
 from verilens.plans import conversations as _conversations
 from verilens.plans import items as _items
+from verilens.plans import rejects as _rejects
 from verilens.plans import tasks as _tasks
 
 REPORTS: dict[str, Callable[..., DataFrame]] = {
     "items": _items.items,
     "tasks": _tasks.tasks,
     "conversations": _conversations.conversations,
+    "rejects": _rejects.rejects,
 }
 
 

@@ -50,6 +50,8 @@ TEAM_VOCABULARY = [
     (4, "verified", "right, [really]"), (4, "in_progress", "on the way"),
     (5, "undetermined", "flow"), (5, "needs_review", "second wins"),
 ]
+#: Listed entries of each form: those of the vocabulary, in form 5 also an id listed twice and what can't be read.
+TEAM_LISTED = [3, 2, 2, 2, 5]
 #: (team, entry) that can't be read.
 TEAM_UNREADABLE = [(5, 2), (5, 3)]
 STATUS_IDS = ["undetermined", "in_progress", "verified", "needs_review"]
