@@ -120,8 +120,9 @@ def edited(text: bytes, tree: SegmentTree, edits: list[dict], path: str) -> tupl
     """The text after the edits, and the bytes that were encoded again; the tree is brought up to date.
 
     Regions follow each other: ``done`` is what lies before the last one, ``held`` the
-    last region as it is now, ``at`` its place in the new text; the text from ``rest`` on is untouched."""
-    again, shift = 0, 0
+    last region as it is now, ``at`` its place in the new text; the text from ``rest`` on is untouched.
+    Where a region lost most of its pieces, the next one may start before it."""
+    again, shift, text = 0, 0, memoryview(text)  # its slices are no copies
     done, held, at, rest = [], b"", 0, 0
     k = 0
     while k < len(edits):
@@ -130,11 +131,17 @@ def edited(text: bytes, tree: SegmentTree, edits: list[dict], path: str) -> tupl
         hi = min(tree.leaves - 1, tree.leaf_at(start + max(0, edits[k]["length"] - 1)) + 1)
         left = tree.start(lo)
         right = tree.start(hi) + int(tree.nodes[tree.size + hi, 1])
+        while left < at:
+            part = memoryview(done.pop())
+            kept = max(0, len(part) - (at - left))
+            held, at = b"".join([part[kept:], held]), at - len(part) + kept
+            if kept:
+                done.append(part[:kept])
         between = max(0, left - at - len(held))
         done += [held[:left - at], text[rest:rest + between]]
         held, at, rest = held[left - at:], left, rest + between
         missing = max(0, right - left - len(held))
-        region, rest, old_shift = held + text[rest:rest + missing], rest + missing, shift
+        region, rest, old_shift = b"".join([held, text[rest:rest + missing]]), rest + missing, shift
         # every edit that ends inside this region, with a leaf to spare, is made at once
         inner = tree.start(hi) if hi < tree.leaves - 1 else right + 1
         pieces, copied = [], 0
