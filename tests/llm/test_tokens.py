@@ -106,6 +106,28 @@ def test_library_ids_of_pieces():
     assert [np.frombuffer(x.as_py(), library_ids.dtype).tolist() for x in got] == [[*e.ids, 2] for e in want]
 
 
+def test_pieces_reach_the_library_joined():
+    class Counted:
+        def __init__(self, own):
+            self.own, self.seen = own, 0
+
+        def encode_batch_fast(self, xs, **options):
+            self.seen += len(xs)
+            return self.own.encode_batch_fast(xs, **options)
+
+    ids = dac._Library(WORD_BPE)
+    ids.tokenizer = Counted(ids.tokenizer)
+    pieces = [x.encode() for k in range(500) for x in (f"wörd{k}", f"<|endoftext{k}", "|>", "", f"'s{k}", "　", f"e\u0301{k}", f"\u0301{k}")]
+    got = ids._encode_pieces(pieces)
+    want = library(WORD_BPE).encode_batch([p.decode() for p in pieces], add_special_tokens=False)
+    assert [np.frombuffer(x, ids.dtype).tolist() for x in got] == [e.ids for e in want]
+    assert ids.tokenizer.seen < len(pieces) / 10
+    ids.border = (ids.border[0], "no token of its own")  # found nowhere: each piece alone
+    assert ids._encode_pieces(pieces) == got
+    ids.border = None
+    assert ids._encode_pieces(pieces) == got
+
+
 def test_counts_follow_edits():
     rng = random.Random(5)
     xs = [x for x in texts(1500, 6, 400) if 3 < len(x) < 5000]

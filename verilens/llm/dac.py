@@ -39,6 +39,8 @@ END_ID = 2
 #: A block is closed at so many ids; a longer document is a block of its own.
 BLOCK_IDS = 1 << 19
 RANK_BITS = 512
+#: Pieces that the library gets as one text, with a special token between them.
+JOINED_PIECES = 64
 
 BLOCK = T.StructType([
     T.StructField("shard", T.IntegerType()), T.StructField("block", T.IntegerType()), T.StructField("n_ids", T.LongType()),
@@ -93,7 +95,7 @@ def unpacked(block: dict[str, list[bytes]]) -> np.ndarray:
 # -- encoding -----------------------------------------------------------------
 
 class _Library:
-    """Ids by the tokenizers library, which sees each distinct piece of a batch once."""
+    """Ids by the tokenizers library, which sees each distinct piece of a batch once, many in one text."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -102,13 +104,31 @@ class _Library:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.dtype = np.dtype("<u2" if max(self.tokenizer.get_vocab().values()) < 1 << 16 else "<u4")
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.coder = PieceCoder(self._encode, self.dtype, folded=True)
-
-    def _encode(self, pieces: list[bytes]) -> list[bytes]:
-        # a piece cut out of a longer character never occurs: cuts are at ASCII characters
-        found = self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False) if pieces else []
-        return [np.array(x.ids, self.dtype).tobytes() for x in found]
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.special = [t.content for t in added.values()]
+        # taken out before the text is normalized, with nothing beside it: what is on either side is encoded as if alone
+        self.border = next(((i, t.content) for i, t in added.items() if not (t.normalized or t.lstrip or t.rstrip or t.single_word)), None)
+        self.coder = PieceCoder(self._encode_pieces, self.dtype, folded=True)
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, self.dtype) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
+    def _encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece; none has a special token's string.  A call for each piece costs more than its ids.
+
+        A piece cut out of a longer character never occurs: cuts are at ASCII characters."""
+        texts = [p.decode() for p in pieces]
+        if not self.border:
+            return [x.tobytes() for x in self._ids(texts)]
+        border, content = self.border
+        runs, width, out = [texts[k:k + JOINED_PIECES] for k in range(0, len(texts), JOINED_PIECES)], self.dtype.itemsize, []
+        for run, ids in zip(runs, self._ids([content.join(run) for run in runs]), strict=True):
+            ends, raw = np.flatnonzero(ids == border) * width, ids.tobytes()
+            if len(ends) == len(run) - 1:
+                out += [raw[a:b] for a, b in zip([0, *(ends + width).tolist()], [*ends.tolist(), len(raw)], strict=True)]
+            else:  # a border that runs into a piece
+                out += [x.tobytes() for x in self._ids(run)]
+        return out
 
     def encode(self, texts: pa.Array, end_id: int) -> pa.Array:
         """Each text's ids and the end id, in a binary value."""
@@ -126,9 +146,9 @@ class _Library:
         out[body] = ids
         coded = binary(out.view(np.uint8), at * self.dtype.itemsize)
         if special.any():  # a special token's string must not be cut
-            whole = iter(self._encode([t.encode() for t in texts.filter(pa.array(special)).to_pylist()]))
+            whole = iter(self._ids(texts.filter(pa.array(special)).to_pylist()))
             end = np.array([end_id], self.dtype).tobytes()
-            coded = pa.array([next(whole) + end if s else x for s, x in zip(special, coded.to_pylist(), strict=True)], pa.binary())
+            coded = pa.array([next(whole).tobytes() + end if s else x for s, x in zip(special, coded.to_pylist(), strict=True)], pa.binary())
         return coded
 
 
