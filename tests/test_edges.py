@@ -81,3 +81,20 @@ def test_items_edge_workspace(spark):
     row = I.items(ws).first()
     assert (row.item_id, row.item_status, row.item_status_by, row.media_type, row.folder) == \
         (7, "verified", None, "Text", None)
+
+
+def test_titles_and_contents_of_the_latest_status(spark):
+    a = [(i, kind, "ProjectMedia", item, "User", 3, None, None, "x") for i, kind, item in
+         [(1, "verification_status", 7), (2, "verification_status", 7), (3, "language", 8), (4, "verification_status", 9)]]
+    status = "verification_status_status"
+    f = [(10 * i + k, i, "verification_status", name, "text", value, None) for i, k, name, value in
+         [(1, 0, status, '"a"'), (1, 1, "title", '"old"'), (2, 0, status, '"b"'), (2, 1, "title", '"t1"'), (2, 2, "title", None),
+          (2, 3, "content", '"c1"'), (2, 4, "content", '"c2"'), (4, 1, "title", '"no status"')]]
+    f.append((30, 3, "language", "language", "language", '"en"', None))
+    ws = _ws(spark, annotations=a, dynamic_annotation_fields=f)
+    facts = I.item_annotation_facts(ws)
+    assert "titles" not in facts.columns    # no list of an annotation's texts in one row
+    rows = I._with_status_texts(facts, ws).collect()
+    key = lambda r: (r.project_media_id, r.status or "", r.title or "", r.content or "", r.language or "")
+    assert sorted(map(key, rows)) == [(7, "b", "", "c1", ""), (7, "b", "", "c2", ""), (7, "b", "t1", "c1", ""), (7, "b", "t1", "c2", ""),
+                                      (8, "", "", "", "en"), (9, "", "", "", "")]

@@ -96,36 +96,28 @@ def _from_parts(parts: Column) -> Column:
 
 
 @lru_cache(maxsize=64)
-def _from_named_parts(name: str, jvm: int) -> Column:
-    """The expression over a column of that name; it has hundreds of nodes, each built by a call into the JVM ``jvm``."""
-    return _from_parts(F.col(name))
+def _slow_path(name: str, jvm: int) -> Column:
+    """The parts of a column of that name, bound once through a lambda variable, and the timestamp they make; it has
+    hundreds of nodes, each built by a call into the JVM ``jvm``."""
+    parts = F.array(iso_parts(F.col(name)))
+    return F.transform(parts, lambda p: F.when(p.isNotNull(), _from_parts(p))).getItem(0)
 
 
-def iso_from_parts(c: Column, parts: str) -> Column:
-    return (F.when(c.rlike(FAST_PATTERN), c.try_cast("timestamp_ntz"))
-            .when(F.col(parts).isNotNull(), _from_named_parts(parts, id(SparkContext._gateway)))
-            .cast("timestamp_ntz"))
+def iso_timestamp(c: Column, slow: Column | None = None) -> Column:
+    """The timestamp of a text.
 
-
-def iso_timestamp(c: Column) -> Column:
-    """Single-expression form.  The captured parts are bound once through a
-    lambda variable so the expression stays small; for many columns prefer
-    ``with_iso_timestamps`` (fully code-generated)."""
-    slow = F.transform(F.array(iso_parts(c)), lambda p: F.when(p.isNotNull(), _from_parts(p)))
-    return (F.when(c.rlike(FAST_PATTERN), c.try_cast("timestamp_ntz"))
-            .otherwise(slow.getItem(0)).cast("timestamp_ntz"))
+    The slow path is a function of a lambda variable.  Written out, its hundreds
+    of nodes would land in the one method of their stage, which the JVM never
+    compiles beyond 8,000 bytes of bytecode; every row of the stage, with all
+    joins and aggregates in it, would then be interpreted, also where all texts
+    take the fast path."""
+    if slow is None:
+        slow = F.transform(F.array(iso_parts(c)), lambda p: F.when(p.isNotNull(), _from_parts(p))).getItem(0)
+    return (F.when(c.isNull(), None).when(c.rlike(FAST_PATTERN), c.try_cast("timestamp_ntz"))
+            .otherwise(slow).cast("timestamp_ntz"))
 
 
 def with_iso_timestamps(df, columns: dict[str, str]):
-    """Replace/add ``out = iso(in)`` for each ``{out: in}`` in two projections:
-    the regex runs once per value in the first, the second only reads the
-    captured parts (Spark does not collapse a costly expression that is used
-    several times, so the parts stay computed once)."""
-    tmp = {out: f"__iso_parts_{i}" for i, out in enumerate(columns)}
-    staged = df.select("*", *[iso_parts(F.col(f"`{src}`")).alias(tmp[out])
-                              for out, src in columns.items()])
-    keep = [c for c in df.columns if c not in columns]
-    final = [F.col(f"`{c}`") for c in keep] + [
-        iso_from_parts(F.col(f"`{src}`"), tmp[out]).alias(out) for out, src in columns.items()]
-    order = [c for c in df.columns] + [o for o in columns if o not in df.columns]
-    return staged.select(*final).select(*[F.col(f"`{c}`") for c in order])
+    """Replace/add ``out = iso(in)`` for each ``{out: in}`` in one projection."""
+    jvm = id(SparkContext._gateway)
+    return df.withColumns({out: iso_timestamp(F.col(f"`{src}`"), _slow_path(f"`{src}`", jvm)) for out, src in columns.items()})
